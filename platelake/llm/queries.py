@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from platelake.llm.byte_bpe import encode_decode
 from platelake.llm.exact_dedup import exact_dedup
+from platelake.llm.mixing import mix_sources
 from platelake.llm.shared import fresh_path, table
 from platelake.llm.token_store import byte_bpe_encoder, read_tokens, write_tokens
 
@@ -28,10 +29,15 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": op1_token_store,
     "op5_byte_bpe": op5_byte_bpe,
     "op7_exact_dedup": op7_exact_dedup,
+    "op9_mixing": op9_mixing,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -42,4 +48,21 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = max(doc_id) OVER g AS kept, sha256(t) AS text_sha256
         FROM norm WINDOW g AS (PARTITION BY t)""",
+    # The slots of a source take its stream from the start, over and over, until its rounded target is reached.
+    "op9_mixing": r"""
+        WITH sized AS (
+            SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS o,
+                   CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+        sums AS (SELECT source, CAST(sum(size) AS BIGINT) AS s FROM sized GROUP BY source),
+        weighed AS (SELECT source, s, CAST([5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS BIGINT) AS w FROM sums),
+        levels AS (
+            SELECT source, s, w, CAST(sum(s) OVER () - coalesce(sum(3 * s) OVER f, 0) AS DOUBLE) / CAST(sum(w) OVER () - coalesce(sum(w) OVER f, 0) AS DOUBLE) AS level
+            FROM weighed WINDOW f AS (ORDER BY 3 * s / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+        targets AS (SELECT source, s, least(CAST(3 * s AS DOUBLE), max(level) OVER () * w) AS target FROM levels),
+        streams AS (
+            SELECT doc_id, source, size, CAST(sum(size) OVER (PARTITION BY source ORDER BY o, size ROWS UNBOUNDED PRECEDING) AS BIGINT) - size AS a FROM sized)
+        SELECT doc_id, size, t.s AS source_size, t.target AS target,
+               CASE WHEN size = 0 THEN 0 ELSE CAST(round(t.target) AS BIGINT) // t.s * size
+                    + greatest(0, least(a + size, CAST(round(t.target) AS BIGINT) % t.s) - a) END AS taken
+        FROM streams d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source""",
 }
