@@ -11,6 +11,7 @@ from platelake.llm.byte_bpe import encode_decode
 from platelake.llm.exact_dedup import exact_dedup
 from platelake.llm.mixing import mix_sources
 from platelake.llm.shared import fresh_path, table
+from platelake.llm.simhash import simhash_components
 from platelake.llm.token_store import byte_bpe_encoder, read_tokens, write_tokens
 
 
@@ -29,6 +30,10 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(table(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
 
@@ -37,6 +42,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": op1_token_store,
     "op5_byte_bpe": op5_byte_bpe,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_simhash": op8_simhash,
     "op9_mixing": op9_mixing,
 }
 
