@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from platelake.llm.byte_bpe import encode_decode
 from platelake.llm.exact_dedup import exact_dedup
+from platelake.llm.license_scan import scan_licenses
 from platelake.llm.mixing import mix_sources
 from platelake.llm.shared import fresh_path, table
 from platelake.llm.simhash import simhash_components
+from platelake.llm.toxicity import score_toxicity, train_model
 from platelake.llm.token_store import byte_bpe_encoder, read_tokens, write_tokens
 
 
@@ -22,6 +24,15 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, path)
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_toxicity(docs, train_model(docs, table(spark, sf_dir, "labels")))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
@@ -40,6 +51,8 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": op1_token_store,
+    "op2_license_scan": op2_license_scan,
+    "op3_toxicity": op3_toxicity,
     "op5_byte_bpe": op5_byte_bpe,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_simhash": op8_simhash,
