@@ -13,6 +13,7 @@ from platelake.llm.license_scan import scan_licenses
 from platelake.llm.mixing import mix_sources
 from platelake.llm.shared import fresh_path, table
 from platelake.llm.simhash import simhash_components
+from platelake.llm.substring_dedup import remove_repeats
 from platelake.llm.toxicity import score_toxicity, train_model
 from platelake.llm.token_store import byte_bpe_encoder, read_tokens, write_tokens
 
@@ -33,6 +34,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, train_model(docs, table(spark, sf_dir, "labels")))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
@@ -53,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": op1_token_store,
     "op2_license_scan": op2_license_scan,
     "op3_toxicity": op3_toxicity,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_byte_bpe": op5_byte_bpe,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_simhash": op8_simhash,
