@@ -100,7 +100,7 @@ def links(classes: DataFrame, radius: int = 2, bucket: int = BUCKET) -> DataFram
 
 
 def simhash_components(docs: DataFrame, radius: int = 2, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
-    """One row per input row: doc_id, fingerprint (16 hex digits), component_id (least doc_id of its component), n_class, and carry.
+    """One row per input row: doc_id, fingerprint (16 hex digits), component_id (least doc_id of its component), n_class, root, and carry.
 
     Texts are lower-cased in A-Z; fewer words than a shingle count whole; texts without words (null, empty) have fingerprint
     zero and are linked like any other. n_class counts the rows with the same fingerprint. Null identifiers are passed over
@@ -111,6 +111,6 @@ def simhash_components(docs: DataFrame, radius: int = 2, id_col: str = "doc_id",
     roots = components(links(classes.select("fp"), radius))
     named = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     best = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    known = named.join(best, "root").select("fp", "component_id", "n_class")
+    known = named.join(best, "root").select("fp", "root", "component_id", "n_class")
     name = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return fps.join(known, "fp").select("doc_id", name.alias("fingerprint"), "component_id", "n_class", *carry)
+    return fps.join(known, "fp").select("doc_id", name.alias("fingerprint"), "component_id", "n_class", "root", *carry)
