@@ -55,7 +55,7 @@ def ordered_times(df: DataFrame) -> list[str]:
 def venn(flags: DataFrame) -> DataFrame:
     """only_all, only_active, both: all compounds against bioactive ones."""
     of = flags.filter(F.col(COMPOUND).isNotNull()).groupBy(COMPOUND).agg(F.max("Bioactive").alias("active"))
-    return of.agg(F.count_if("active = 0").alias("only_all"), F.lit(0).cast("long").alias("only_active"), F.count_if("active = 1").alias("both"))
+    return of.agg(F.count_if(F.col("active") == 0).alias("only_all"), F.lit(0).cast("long").alias("only_active"), F.count_if(F.col("active") == 1).alias("both"))
 
 
 def venn_per_time(flags: DataFrame) -> DataFrame:
