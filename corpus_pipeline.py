@@ -18,42 +18,53 @@ from platelake.llm.shared import staged, table
 from platelake.llm.simhash import simhash_components
 from platelake.llm.toxicity import score_toxicity, train_model
 
-_ROW = "_row"
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    return docs.withColumn(_ROW, F.monotonically_increasing_id())
+def _unused(docs: DataFrame, name: str) -> str:
+    """A column name that docs does not have, in either case."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """docs with a number for each row, and the number's name."""
+    row = _unused(docs, "_row")
+    return docs.withColumn(row, F.monotonically_increasing_id()), row
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not call toxic."""
     model = train_model(docs, table(spark, sf_dir, "labels"))
-    whole = docs.withColumn("_all", F.struct(*(F.col(f"`{c}`") for c in docs.columns)))
-    return score_toxicity(whole, model, carry=("_all",)).filter("predicted = 0").select("_all.*")
+    all_ = _unused(docs, "_all")
+    whole = docs.withColumn(all_, F.struct(*(F.col(f"`{c}`") for c in docs.columns)))
+    return score_toxicity(whole, model, carry=(all_,)).filter("predicted = 0").select(f"{all_}.*")
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
-    rows = _numbered(docs)
-    kept = exact_dedup(rows, row_col=_ROW).filter("kept").select(_ROW)
-    return rows.join(kept, _ROW, "left_semi").drop(_ROW)
+    rows, row = _numbered(docs)
+    kept = exact_dedup(rows, row_col=row).filter("kept").select(row)
+    return rows.join(kept, row, "left_semi").drop(row)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of least identifier of each component of near-duplicates."""
-    rows = _numbered(docs)
-    found = simhash_components(rows, carry=(_ROW,))
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", _ROW))
-    kept = found.groupBy("root").agg(first.alias("first")).select(f"first.{_ROW}")
-    return rows.join(kept, _ROW, "left_semi").drop(_ROW)
+    rows, row = _numbered(docs)
+    found = simhash_components(rows, carry=(row,))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", row))
+    kept = found.groupBy("root").agg(first.alias("first")).select(f"first.{row}")
+    return rows.join(kept, row, "left_semi").drop(row)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it, in whole copies; documents that it does not reach go."""
-    rows = _numbered(docs)
-    taken = mix_sources(rows, carry=(_ROW,)).filter("taken > 0").select(_ROW, F.round(F.col("taken") / F.col("size")).cast("int").alias("_copies"))
-    met = rows.join(taken.filter("_copies > 0"), _ROW)
-    return met.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*(f"`{c}`" for c in docs.columns))
+    rows, row = _numbered(docs)
+    times = F.round(F.col("taken") / F.col("size")).cast("int")
+    taken = mix_sources(rows, carry=(row,)).filter("taken > 0").select(row, F.sequence(F.lit(1), times).alias(f"{row}_n"), times.alias(f"{row}_t")).filter(f"{row}_t > 0")
+    met = rows.join(taken, row).withColumn(f"{row}_c", F.explode(f"{row}_n"))
+    return met.select(*(f"`{c}`" for c in docs.columns))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
