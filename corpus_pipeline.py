@@ -29,7 +29,11 @@ def _unused(docs: DataFrame, name: str) -> str:
 
 
 def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
-    """docs with a number for each row, and the number's name."""
+    """docs with a number for each row, and the number's name.
+
+    The number is the place in a table's scan, the same whenever it is read; other frames are stored first."""
+    if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() != "LogicalRelation":
+        docs = staged(docs, "pipeline-docs")
     row = _unused(docs, "_row")
     return docs.withColumn(row, F.monotonically_increasing_id()), row
 
