@@ -12,4 +12,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 def spark():
     from platelake.session import local_session
 
-    return local_session(4, "4g", 4)
+    session = local_session(4, "4g", 4)
+    session.sparkContext.setLogLevel("ERROR")
+    return session
