@@ -82,13 +82,14 @@ def density(df: DataFrame, keys: list[str], value: str = "induction", points: in
     It reads the distinct values of a group with their counts (an induction score has one more value than features), so that it
     is a sum over grid x values in SQL."""
     rows = df.filter(F.col(value).isNotNull())
-    stats = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.stddev_samp(value).alias("s"), F.min(value).alias("lo"), F.max(value).alias("hi")).filter("s > 0")
-    stats = stats.withColumn("h", F.col("s") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
-    grid = stats.select(*keys, "n", "h", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("k"), "lo", "hi")
-    grid = grid.withColumn("x", F.col("lo") - 3 * F.col("h") + F.col("k") * (F.col("hi") - F.col("lo") + 6 * F.col("h")) / (points - 1))
-    values = rows.groupBy(*keys, F.col(value).alias("v")).agg(F.count("*").alias("c"))
-    z = (F.col("x") - F.col("v")) / F.col("h")
-    return grid.join(values, keys).groupBy(*keys, "x").agg((F.sum(F.col("c") * F.exp(-0.5 * z * z) / (F.col("n") * F.col("h") * (2 * 3.141592653589793) ** 0.5))).alias("density"))
+    stats = rows.groupBy(*keys).agg(F.count("*").alias("_n"), F.stddev_samp(value).alias("_s"), F.min(value).alias("_lo"), F.max(value).alias("_hi")).filter("_s > 0")
+    stats = stats.withColumn("_h", F.col("_s") * F.pow(F.col("_n").cast("double"), F.lit(-0.2)))
+    step = (F.col("_hi") - F.col("_lo") + 6 * F.col("_h")) / (points - 1)
+    grid = stats.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(points - 1)))).withColumn("x", F.col("_lo") - 3 * F.col("_h") + F.col("_k") * step)
+    values = rows.groupBy(*keys, F.col(value).alias("_v")).agg(F.count("*").alias("_c"))
+    z = (F.col("x") - F.col("_v")) / F.col("_h")
+    share = F.col("_c") * F.exp(-0.5 * z * z) / (F.col("_n") * F.col("_h") * (2 * 3.141592653589793) ** 0.5)
+    return grid.join(values, keys).groupBy(*keys, "x").agg(F.sum(share).alias("density"))
 
 
 def numbered_rows(df: DataFrame, keys: list[str], order: list) -> DataFrame:

@@ -38,8 +38,8 @@ def typed(df: DataFrame) -> DataFrame:
     """String columns cast to bigint, double or boolean where every value that is there parses. One aggregate over the table."""
     if not df.columns:
         return df
-    kinds = ("bigint", "double", "boolean")
-    tests = [F.count_if(F.col(f"`{c}`").isNotNull() & F.col(f"`{c}`").try_cast(k).isNull()) for c in df.columns for k in kinds]
+    kinds = {"bigint": r"^[+-]?\d{1,18}$", "double": r"(?i)^[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity)$", "boolean": "^(True|TRUE|true|False|FALSE|false)$"}
+    tests = [F.count_if(F.col(f"`{c}`").isNotNull() & ~F.trim(F.col(f"`{c}`")).rlike(shape)) for c in df.columns for shape in kinds.values()]
     some = [F.count(F.col(f"`{c}`")) for c in df.columns]
     row = df.agg(*(t.alias(f"t{i}") for i, t in enumerate(tests)), *(s.alias(f"s{i}") for i, s in enumerate(some))).first()
     out = {}
@@ -48,7 +48,7 @@ def typed(df: DataFrame) -> DataFrame:
         if row[f"s{i}"] == 0:
             out[c] = F.col(f"`{c}`").cast("double")
         elif fits:
-            out[c] = F.col(f"`{c}`").cast(fits[0])
+            out[c] = F.trim(F.col(f"`{c}`")).cast(fits[0])
     return df.withColumns(out)
 
 
