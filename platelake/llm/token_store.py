@@ -14,8 +14,10 @@ is the final line feed), so any store that Spark reaches will do and lost tasks
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -206,7 +208,7 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
     return docs.join(before, "shard").select("doc_id", (F.col("before") + F.col("at")).alias("start"), "n_tokens", "ids_crc32", *(["ids"] if with_ids else []))
 
 
-def byte_bpe_encoder(tokenizer_json: str, cache: int = 200_000) -> Callable[[], Callable[[list[str]], list[np.ndarray]]]:
+def byte_bpe_encoder(tokenizer_json: str, cache: int = 250_000) -> Callable[[], Callable[[list[str]], list[np.ndarray]]]:
     """An encoder by the tokenizers library for write_tokens.
 
     A blank that follows a character other than white space always starts a pre-token, so texts are cut there and each
@@ -216,18 +218,27 @@ def byte_bpe_encoder(tokenizer_json: str, cache: int = 200_000) -> Callable[[],
 
 
 class PieceEncoder:
-    """Encodes texts piece by piece with a byte-level tokenizer."""
+    """Encodes texts piece by piece with a byte-level tokenizer. The cache has two generations, so that common pieces outlive its turns."""
 
     _shared: dict[str, PieceEncoder] = {}
+    _gap = re.compile(r"\s ")
+    #: White space of ASCII before a blank.
+    _gaps = ("  ", "\n ", "\t ", "\r ", "\x0b ", "\x0c ", "\x1c ", "\x1d ", "\x1e ", "\x1f ")
 
     def __init__(self, tokenizer_json: str, cache: int):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_json)
         self.tokenizer.encode_special_tokens = True
-        self.limit, self.cache, self.words = cache, {}, {}
+        if hasattr(self.tokenizer.model, "_resize_cache"):
+            self.tokenizer.model._resize_cache(0)  # this class has its own
+        self.limit = cache
+        # By what follows the blank of a piece; self.other by whole pre-tokens or pieces without one.
+        self.cache: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.other: dict[str, bytes] = {}
         self.split = regex.compile(public_tokenizers.PATTERN).findall
-        self.letters = {b: c for b, c in enumerate(byte_letters())}
+        self.letters = dict(enumerate(byte_letters()))
 
     @classmethod
     def shared(cls, tokenizer_json: str, cache: int) -> PieceEncoder:
@@ -236,49 +247,66 @@ class PieceEncoder:
             cls._shared[tokenizer_json] = cls(tokenizer_json, cache)
         return cls._shared[tokenizer_json]
 
-    @staticmethod
-    def pieces(text: str) -> list[str]:
-        """The text in pieces that join to it again, cut before blanks that follow other than white space."""
+    def pieces(self, text: str) -> list[str]:
+        """The first piece, and the others without the blank that each starts with; cuts are made before blanks that follow other than white space."""
         cut = text.split(" ")
-        head, rest = cut[0], cut[1:]
-        if "" not in cut and not any(map(str.isspace, (p[-1] for p in cut))):
-            return [head, *[" " + p for p in rest]]
-        found, last = [], head
-        for p in rest:
+        if not (any(g in text for g in self._gaps) if text.isascii() else self._gap.search(text)) and cut[0]:
+            return cut
+        found, last = [], cut[0]
+        for p in cut[1:]:
             if last and not last[-1].isspace():
                 found.append(last)
-                last = " " + p
+                last = p
             else:
                 last += " " + p
+            if last == "" and found:
+                last = " "
+                found, last = found[:-1], found[-1] + last
         return [*found, last]
 
-    def fill(self, missing: list[str]) -> None:
-        """Encode new pieces. Where all characters are Latin, whose classes no Unicode version changes, the splitting is done
-        here and only the merges by the library's model; other pieces take the library's whole path."""
-        far = [p for p in missing if p > "" and max(p) >= "\u0250"]
-        for p, e in zip(far, self.tokenizer.encode_batch_fast(far, add_special_tokens=False)):
-            self.cache[p] = np.array(e.ids, "<u4").tobytes()
-        if len(self.words) > self.limit:
-            self.words.clear()
-        model, words = self.tokenizer.model, self.words
+    def whole(self, piece: str) -> bytes:
+        """The ids of a piece. Where all characters are Latin, whose classes no Unicode version changes, the splitting is done here
+        and only the merges by the library's model; other pieces take the library's whole path."""
+        if piece and max(piece) >= "\u0250":
+            return array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
+        return b"".join([self.word(w) for w in self.split(piece)])
+
+    def word(self, word: str) -> bytes:
+        """The ids of one pre-token."""
+        spaced = word[0] == " " and len(word) > 1 and not word[1].isspace()
+        home, key = (self.cache, word[1:]) if spaced else (self.other, word)
+        found = home.get(key)
+        if found is None:
+            found = home[key] = array("I", [t.id for t in self.tokenizer.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]).tobytes()
+        return found
+
+    def fill(self, missing: set[str]) -> None:
+        """Bring pieces into the cache, from its older generation or anew. Letters alone are one pre-token, and so are they before a last mark."""
+        cache, old, other, tokenize, letters = self.cache, self.old, self.other, self.tokenizer.model.tokenize, self.letters
+        marks = {m: other.get(m) or self.word(m) for m in ".,"}
         for p in missing:
-            if p in self.cache:
-                continue
-            found = []
-            for w in self.split(p):
-                ids = words.get(w)
-                if ids is None:
-                    mapped = "\u0120" + w[1:] if w[0] == " " and w[1:].isascii() and w[1:].isalpha() else w.encode().decode("latin-1").translate(self.letters)
-                    ids = words[w] = np.array([t.id for t in model.tokenize(mapped)], "<u4").tobytes()
-                found.append(ids)
-            self.cache[p] = b"".join(found)
+            ids = old.get(p)
+            if ids is None:
+                tail = b""
+                w = p
+                if p[-1:] in marks:
+                    tail, w = marks[p[-1]], p[:-1]
+                if w.isalpha() and (w.isascii() or max(w) < "\u0250"):
+                    ids = cache.get(w) or old.get(w) if tail else None
+                    if ids is None:
+                        ids = array("I", [t.id for t in tokenize("\u0120" + w if w.isascii() else "\u0120" + w.encode().decode("latin-1").translate(letters))]).tobytes()
+                    ids += tail
+                else:
+                    ids = self.whole(" " + p)
+            cache[p] = ids
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.cache) > self.limit:
-            self.cache.clear()
+            self.cache, self.old = {}, self.cache
+        if len(self.other) > self.limit:
+            self.other = {}
         cut = [self.pieces(t) for t in texts]
-        cache = self.cache
-        if missing := list({p for x in cut for p in x if p not in cache}):
-            self.fill(missing)
-        get = cache.__getitem__
-        return [np.frombuffer(b"".join(map(get, x)), "<u4") for x in cut]
+        heads = [self.whole(x.pop(0)) for x in cut]
+        self.fill(set().union(*cut).difference(self.cache))
+        get = self.cache.__getitem__
+        return [np.frombuffer(b"".join([h, *map(get, x)]), np.uint32) for h, x in zip(heads, cut)]
