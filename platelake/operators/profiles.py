@@ -34,7 +34,8 @@ class Profiles:
 
     def mapped(self, f) -> Profiles:
         """f applied to every value."""
-        return Profiles(self.df.withColumn("features", F.transform("features", f)), self.names, self.meta)
+        one = lambda x: f(x)  # noqa: E731  f may have more parameters, transform would fill a second one
+        return Profiles(self.df.withColumn("features", F.transform("features", one)), self.names, self.meta)
 
     def keeping(self, names: list[str]) -> Profiles:
         """Only some features."""

@@ -17,7 +17,7 @@ def average_cosine(df: DataFrame, keys: list[str], vector: str = "features") ->
     filled = df.dropna(subset=keys).select(*keys, F.transform(vector, lambda x: F.coalesce(x.cast("double"), F.lit(0.0))).alias("v"))
     units = filled.withColumn("l", norm(F.col("v")))
     counts = units.groupBy(*keys).agg(F.count("*").alias("n"), F.count_if(F.col("l") > 0).alias("some"))
-    parts = units.filter("l > 0").select(*keys, F.posexplode(F.transform("v", lambda x: x / F.col("l"))).alias("pos", "u"))
+    parts = units.filter("l > 0").select(*keys, F.posexplode(F.transform("v", lambda x: F.try_divide(x, F.col("l")))).alias("pos", "u"))
     squares = parts.groupBy(*keys, "pos").agg(F.sum("u").alias("s")).groupBy(*keys).agg(F.sum(F.col("s") * F.col("s")).alias("squares"))
     mean = F.try_divide(F.coalesce("squares", F.lit(0.0)) - F.col("some"), F.col("n") * (F.col("n") - 1))
     return counts.join(squares, keys, "left").select(*keys, "n", mean.alias("average_cosine_similarity"))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from platelake.functions import scalars
-from platelake.functions.naming import drop_bookkeeping, features_without, nulls_for_tokens, prefixed
+from platelake.functions.naming import drop_bookkeeping, nulls_for_tokens, prefixed
 from platelake.operators import cells as C
 from platelake.operators import images as I
 from platelake.operators import induction as H
@@ -307,8 +307,16 @@ def fs_outlier(spark, sf_dir):
     return selection.extremes(_profiles(spark, sf_dir))
 
 
-@query(f"""WITH {SQL_OBJECTS}, s AS (SELECT count(DISTINCT tax) / count(*)::DOUBLE AS u FROM obj)
-    SELECT * FROM (VALUES ('discount'), ('quantity'), ('tax')) AS t(feature)""")
+@query(f"""WITH {SQL_OBJECTS}, {_LONG}, c AS (SELECT pos, x, count(*) AS n FROM long WHERE x IS NOT NULL GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY pos ORDER BY n DESC, x) AS p FROM c),
+    varied AS (SELECT pos FROM r GROUP BY pos HAVING count(*) > 1 AND max(CASE WHEN p = 2 THEN n END) / max(CASE WHEN p = 1 THEN n END)::DOUBLE >= 0.05),
+    known AS (SELECT pos FROM long GROUP BY pos HAVING avg(CASE WHEN x IS NULL THEN 1.0 ELSE 0.0 END) <= 0.05),
+    k AS (SELECT * FROM ({' UNION ALL '.join(f'SELECT {i} AS i, {j} AS j, corr({a}, {b}) AS r FROM obj' for i, a in enumerate(FEATURES) for j, b in enumerate(FEATURES) if i != j)})
+        WHERE i IN (FROM varied) AND i IN (FROM known) AND j IN (FROM varied) AND j IN (FROM known)),
+    load AS (SELECT i, sum(abs(r)) AS s FROM k GROUP BY i),
+    twins AS (SELECT CASE WHEN a.s >= b.s THEN k.i ELSE k.j END AS pos FROM k JOIN load a ON a.i = k.i JOIN load b ON b.i = k.j WHERE k.r > 0.9 AND k.i > k.j),
+    calm AS (SELECT pos FROM long GROUP BY pos HAVING max(abs(x)) <= 500)
+    SELECT [{', '.join(f"'{f}'" for f in FEATURES)}][pos + 1] AS feature FROM varied
+    WHERE pos IN (FROM known) AND pos IN (FROM calm) AND pos NOT IN (FROM twins)""")
 def fs_all(spark, sf_dir):
     """Names that survive all rules: prices exceed the outlier cutoff."""
     options = {"variance_threshold": {"unique_cut": 0.0}, "drop_outliers": {"cutoff": 500.0}}
@@ -570,10 +578,3 @@ def job_first_folder(spark, sf_dir):
     SELECT DISTINCT array_to_string(s[1:k], '/') AS url FROM a WHERE k > 0""")
 def main_folder_list(spark, sf_dir):
     return main_folders(load(spark, sf_dir, "pages").select("url"), ["example"], "url")
-
-
-@query("SELECT event_id, event_type FROM events WHERE event_type NOT IN ('view')")
-def features_by_name(spark, sf_dir):
-    """Columns chosen by what their name does not contain."""
-    e = load(spark, sf_dir, "events").filter("event_type <> 'view'").withColumnRenamed("value", "Metadata_value")
-    return e.select(*(c for c in features_without(e) if c in ("event_id", "event_type")))
