@@ -61,7 +61,7 @@ def correlation_matrix(profiles: Profiles) -> np.ndarray:
     def sums(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros((6, n, n))
         for pdf in parts:
-            x = np.array([[np.nan if v is None else v for v in row] for row in pdf["features"]], float).reshape(-1, n) - center
+            x = np.array([np.asarray(row, float) for row in pdf["features"]]).reshape(-1, n) - center  # a null is NaN here
             ok = ~np.isnan(x)
             z, m = np.where(ok, x, 0), ok.astype(float)
             total += np.stack([m.T @ m, z.T @ m, m.T @ z, (z * z).T @ m, m.T @ (z * z), z.T @ z])
