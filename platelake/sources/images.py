@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import os
 import struct
 from collections.abc import Callable, Iterator
 
@@ -89,3 +90,28 @@ def load_arrays(files: DataFrame, most: int = 64) -> dict[str, np.ndarray]:
 def illumination_of(arrays: dict[str, np.ndarray], channel: str) -> np.ndarray | None:
     """The array of a channel under either of its names, None if there is none."""
     return arrays.get(f"{channel}_illum.npy", arrays.get(f"Illum{channel}.npy"))
+
+
+def write_files(files: DataFrame, root: str) -> DataFrame:
+    """Write content to root/path for each row of files (path, content) without error; path, bytes and error of each.
+
+    root is a folder that every executor mounts. A file is written under another name and renamed, so that a task which runs
+    again replaces whole files. The writing happens when the result is used, once: store it or count it."""
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            out = []
+            for p, data in zip(pdf["path"], pdf["content"]):
+                try:
+                    target = os.path.join(root, p.removeprefix("file:").lstrip("/"))
+                    os.makedirs(os.path.dirname(target), exist_ok=True)
+                    part = f"{target}.{os.getpid()}.part"
+                    with open(part, "wb") as f:
+                        f.write(data)
+                    os.replace(part, target)
+                    out.append((p, len(data), None))
+                except OSError as e:
+                    out.append((p, 0, f"{type(e).__name__}: {e}"))
+            yield pd.DataFrame(out, columns=["path", "bytes", "error"])
+
+    return files.filter("content IS NOT NULL").select("path", "content").mapInPandas(run, "path string, bytes long, error string")

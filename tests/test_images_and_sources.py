@@ -73,6 +73,9 @@ def test_image_files(spark, tmp_path):
     made = {r["path"].rsplit("/")[-1]: r for r in codec.map_images(files, lambda a: images.resize(a, 24), lambda p: p.replace("in/", "out/")).collect()}
     assert codec.decode(bytes(made["a.TIF"]["content"])).shape == (24, 24) and made["a.TIF"]["error"] is None
     assert made["b.tif"]["content"] is None and made["b.tif"]["error"]
+    kept = spark.createDataFrame([("x/a.tif", made["a.TIF"]["content"]), ("x/none.tif", None)], "path string, content binary")
+    assert [tuple(r) for r in codec.write_files(kept, str(tmp_path / "w")).collect()] == [("x/a.tif", len(made["a.TIF"]["content"]), None)]
+    assert (tmp_path / "w/x/a.tif").read_bytes() == bytes(made["a.TIF"]["content"]) and len(list((tmp_path / "w/x").iterdir())) == 1
     light = codec.load_arrays(spark.read.format("binaryFile").load(str(tmp_path / "*.npy")))
     assert codec.illumination_of(light, "DNA").shape == (48, 48) and codec.illumination_of(light, "ER") is None
     sites = spark.createDataFrame([(0, "a.TIF", "b.tif")], "site int, FileName_DNA string, FileName_ER string")
