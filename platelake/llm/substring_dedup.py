@@ -21,15 +21,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from platelake.llm.shared import byte_column, n_partitions, staged
+from platelake.llm.shared import byte_column, staged
 
 #: Bytes of text in a chunk; one longer document makes one longer chunk.
-CHUNK = 4 << 20
+CHUNK = 2 << 20
+#: Bytes of text for each range of hashes, and the fewest ranges: a range's hashes fit in a task, and messages stay long.
+RANGE, RANGES = 128 << 20, 16
 _SPACE = np.array([b == 32 or 9 <= b <= 13 for b in range(256)])
 _BREAK = re.compile(rb"[\x20\x09-\x0D]+")
 _ODD = 0x9E3779B97F4A7C15
 
-_CHUNKS = "chunk string, ids binary, known binary, sizes binary, texts binary"
+_CHUNKS = "chunk string, ids binary, known binary, sizes binary, texts binary, bytes long"
 
 
 def levels(window: int) -> list[int]:
@@ -49,8 +51,8 @@ def _pack(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a = 0
         while a < b.num_rows:
             z = max(a + 1, int(np.searchsorted(at, at[a] + CHUNK, "right")) - 1)
-            row = [uuid.uuid4().hex, ids[a:z].astype("<i8").tobytes(), known[a:z].astype(np.uint8).tobytes(), np.diff(at[a : z + 1]).astype("<i8").tobytes(), raw[at[a] : at[z]].tobytes()]
-            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in row], names=["chunk", "ids", "known", "sizes", "texts"])
+            row = [uuid.uuid4().hex, ids[a:z].astype("<i8").tobytes(), known[a:z].astype(np.uint8).tobytes(), np.diff(at[a : z + 1]).astype("<i8").tobytes(), raw[at[a] : at[z]].tobytes(), int(at[z] - at[a])]
+            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in row], names=["chunk", "ids", "known", "sizes", "texts", "bytes"])
             a = z
 
 
@@ -159,10 +161,10 @@ def remove_repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id", te
     by one space. Null and empty texts have no words; documents shorter than the window keep all; repeated rows lose all
     their windows; null identifiers stay null. An empty input gives an empty result.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     chunks = staged(rows.mapInArrow(_pack, _CHUNKS), "substring-chunks")
-    buckets = n_partitions(spark)
+    buckets = max(RANGES, (chunks.agg(F.sum("bytes")).first()[0] or 0) // RANGE)
+    chunks = chunks.drop("bytes")
     done: DataFrame | None = None
     past: list[int] = []
 
@@ -189,7 +191,7 @@ def remove_repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id", te
         if done is None:
             return chunks
         told = done.groupBy("chunk").agg(F.collect_list(F.struct("level", "bucket", "bits")).alias("told"))
-        return chunks.join(told, "chunk", "left")
+        return chunks.join(told.hint("merge"), "chunk", "left")  # the answers grow with the corpus: one plan at every size
 
     for n, length in enumerate(levels(window)):
         alive = opener(list(past))
