@@ -122,7 +122,7 @@ class Words:
             later = b <= a
             low, place = np.where(later, b, a), np.where(later, place[step:], place[:-step])
             reach += step
-        return place[at], low[at]
+        return place[at], _mix(low[at])  # least hashes are small ones; mixed, they spread evenly over the ranges
 
 
 def _send(parts: Iterator[pa.RecordBatch], alive, window: int, length: int, buckets: int) -> Iterator[pa.RecordBatch]:
