@@ -1,4 +1,4 @@
-"""The corpus pipeline: from documents to token identifiers in five stages.
+"""The corpus pipeline: from documents to token identifiers in six stages.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows that its predecessor kept; run() writes each stage's result as
 Parquet into the shared folder and reads it again as the next one's docs. Rows are told apart by a number that the scan of a
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from platelake.llm.byte_bpe import encode_decode
 from platelake.llm.exact_dedup import exact_dedup
+from platelake.llm.jaccard import jaccard_components
 from platelake.llm.mixing import mix_sources
 from platelake.llm.shared import staged, table
 from platelake.llm.simhash import simhash_components
@@ -62,6 +63,16 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rows.join(kept, row, "left_semi").drop(row)
 
 
+def similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of least identifier of each component of texts whose five-word shingles have a Jaccard similarity of 0.8 or more."""
+    rows, row = _numbered(docs)
+    found = rows.join(jaccard_components(rows, row).withColumnsRenamed({"node": row, "root": f"{row}_r"}), row)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", row))
+    kept = found.groupBy(f"{row}_r").agg(first.alias("first")).select(f"first.{row}")
+    gone = found.select(row).join(kept, row, "left_anti")
+    return rows.join(gone, row, "left_anti").drop(row)
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it, in whole copies; documents that it does not reach go."""
     rows, row = _numbered(docs)
@@ -76,7 +87,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return encode_decode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
-STAGES = [("toxicity", toxicity), ("exact_dedup", exact), ("simhash_dedup", near), ("mixing", mixing), ("byte_bpe", tokens)]
+STAGES = [("toxicity", toxicity), ("exact_dedup", exact), ("simhash_dedup", near), ("jaccard_dedup", similar), ("mixing", mixing), ("byte_bpe", tokens)]
 
 #: SQL cannot say the classifier or the fingerprints; tests hold the stages against brute force.
 ORACLE_SQL = None

@@ -1,9 +1,10 @@
 import hashlib
+import random
 from collections import Counter
 
 import pytest
 
-from tests.llm.conftest import LOWER
+from tests.llm.conftest import LOWER, SCHEMA
 from tests.llm.test_dedup import component_rule
 from tests.llm.test_search_and_mix import count, mix_rule
 
@@ -68,3 +69,51 @@ def test_run(spark, corpus):
     texts = {r[0]: r[1] for r in rows_of(corpus)}
     assert got and all(r["decoded_sha256"] == hashlib.sha256((texts[r["doc_id"]] or "").encode()).hexdigest() for r in got)
     assert sum(count(texts[r["doc_id"]]) for r in got) > 0
+
+
+def test_similar_texts_leave_one(spark):
+    """Copies of five-word similarity 0.8 or more go, at lengths where the fingerprints of most are further than 2 bits apart."""
+    rng = random.Random(5)
+    rows = []
+    for n, changed in ((100, 1), (300, 3), (300, 1), (1000, 10), (60, 1)):
+        for _ in range(12):
+            words = [f"w{rng.randrange(50_000)}" for _ in range(n)]
+            other = list(words)
+            for at in rng.sample(range(2, n - 2), changed):
+                other[at] = f"x{rng.randrange(50_000)}"
+            rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join(other))]
+    sets = [frozenset(zip(*(t.split()[k:] for k in range(5)))) for _, t in rows]
+    alike = lambda a, b: len(a & b) >= 0.8 * len(a | b)
+    root = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if alike(sets[a], sets[b]):
+                root = [min(root[a], root[b]) if r in (root[a], root[b]) else r for r in root]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], SCHEMA).repartition(3)
+    got = docs
+    for name in ("simhash_dedup", "jaccard_dedup"):
+        got = STAGES[name](spark, got, SF)
+    assert sorted(r[0] for r in rows_of(got)) == sorted(set(root)) and len(set(root)) == 60
+
+
+def test_similar_on_the_corpus_and_lanes(spark, corpus, awkward, monkeypatch):
+    """Against every pair, with large clusters in one lane and dealt over many."""
+    from platelake.llm import jaccard
+
+    for lane in (1024, 3):
+        monkeypatch.setattr(jaccard, "LANE", lane)
+        for docs in (corpus, awkward):
+            before = rows_of(docs)
+            cut = [(t or "").encode().translate(LOWER).split() for _, t, *_ in before]
+            sets = [frozenset(b" ".join(w[k : k + 5]) for k in range(max(1, len(w) - 4))) for w in cut]
+            root = list(range(len(before)))
+            for a in range(len(before)):
+                for b in range(a):
+                    if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                        root = [min(root[a], root[b]) if r in (root[a], root[b]) else r for r in root]
+            groups = {}
+            for r, (i, *_) in zip(root, before):
+                groups.setdefault(r, []).append((i is None, i or 0))
+            after = STAGES["jaccard_dedup"](spark, docs, SF)
+            assert after.columns == docs.columns
+            assert Counter((r[0] is None, r[0] or 0) for r in rows_of(after)) == Counter(map(min, groups.values()))
