@@ -358,9 +358,7 @@ def cosine_avg(spark, sf_dir):
 
 @query(f"WITH {_PAIRS} SELECT label, count(*) AS n_pairs, round(min(c), 6) AS low, round(max(c), 6) AS high, round(sum(c), 4) AS total FROM p GROUP BY label")
 def cosine_pairs(spark, sf_dir):
-    df = similarity.replicate_cosines(load(spark, sf_dir, "embeddings"), ["label"], "embedding", "vec_id")
-    c = "cosine_similarities"
-    made = df.select("label", F.size(c).cast("long").alias("n_pairs"), F.array_min(c).alias("low"), F.array_max(c).alias("high"), F.aggregate(c, F.lit(0.0), lambda a, x: a + x).alias("total"))
+    made = similarity.replicate_cosine_summary(load(spark, sf_dir, "embeddings"), ["label"], "embedding", "vec_id")
     return rounded(rounded(made, "low", "high"), "total", digits=4)
 
 

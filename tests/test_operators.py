@@ -211,3 +211,21 @@ def test_box_edges(spark):
     ok = df.filter(cells.inside(F.col("y"), F.lit(200), F.lit(500), F.lit(500))).collect()
     assert [r[0] for r in ok] == [100, 400]
     assert spark.range(1).select(cells.dead(F.lit(0.5)), cells.dead(F.lit(0.51)), cells.cell_id(F.lit("A01"), F.lit(3), F.lit(0))).first()[:] == (False, True, "A01_3_cell0")
+
+
+def test_cosine_summary_has_no_limit_on_a_group(spark, tmp_path):
+    from platelake.plans.catalog import QUERIES
+
+    rng = np.random.default_rng(7)
+    data = [(k, 1 if k < 2100 else 2 if k < 2103 else 3, rng.normal(size=4).tolist()) for k in range(2104)]
+    df = spark.createDataFrame(data, "vec_id long, label int, embedding array<double>")
+    df.write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = {r["label"]: r for r in QUERIES["cosine_pairs"](spark, str(tmp_path)).collect()}
+    assert set(got) == {1, 2}
+    for label, r in got.items():
+        x = np.array([v for _, k, v in data if k == label])
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        c = (x @ x.T)[np.triu_indices(len(x), 1)]
+        assert r["n_pairs"] == len(c) and math.isclose(r["low"], c.min(), abs_tol=2e-6) and math.isclose(r["high"], c.max(), abs_tol=2e-6) and math.isclose(r["total"], c.sum(), abs_tol=2e-4)
+    few = similarity.replicate_cosine_summary(df.filter("label = 2"), ["label"], "embedding", "vec_id", lane=1).first()
+    assert few["n_pairs"] == 3
