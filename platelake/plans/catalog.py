@@ -491,23 +491,36 @@ def pixel_statistics(spark, sf_dir):
     return rounded(e.select("vec_id", "mean", middle.alias("spread"), (F.array_max("v") - F.array_min("v")).alias("extent")), "mean", "spread", "extent")
 
 
+def _numbered_vectors(e: DataFrame) -> DataFrame:
+    """e with r, the number of a vector in its label from 0 by vec_id. Ranges of identifiers are numbered apart, so a label needs no one task."""
+    cuts = e.stat.approxQuantile("vec_id", [k / 64 for k in range(1, 64)], 0.002)
+    rows = e.filter("label IS NOT NULL").withColumn("part", F.size(F.filter(F.array(*map(F.lit, cuts)).cast("array<double>"), lambda c: c < F.col("vec_id"))))
+    counts = rows.groupBy("label", "part").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(H.Window.partitionBy("label").orderBy("part").rowsBetween(H.Window.unboundedPreceding, -1)), F.lit(0))
+    counts = counts.select("label", "part", before.alias("before"))  # at most 64 rows a label
+    return H.numbered_rows(rows, ["label", "part"], ["vec_id"]).join(counts, ["label", "part"]).withColumn("r", F.col("r") + F.col("before")).drop("part", "before")
+
+
 @query()
 def radial_power_slope(spark, sf_dir):
-    """Slope and saturation of 40 x 40 pictures, each of 25 vectors of one label."""
+    """Slope and saturation of 40 x 40 pictures, each of 25 consecutive vectors of one label; the last one of a label ends in zeros."""
     import io
 
     import pandas as pd
 
     def picture(key, pdf):
-        x = np.concatenate([np.asarray(v, float) for v in pdf.sort_values("vec_id")["embedding"]])
+        x = np.concatenate([np.asarray(v, float) for v in pdf.sort_values("r")["embedding"]])
+        whole = np.zeros(1600)
+        whole[: len(x)] = x  # longer ones are an error
         buffer = io.BytesIO()
-        np.save(buffer, x[:1600].reshape(40, 40))
-        return pd.DataFrame({"label": [key[0]], "channel": ["DNA"], "content": [buffer.getvalue()]})
-
-    ranked = H.numbered_rows(load(spark, sf_dir, "embeddings"), ["label"], ["vec_id"]).filter("r < 25")
-    whole = ranked.groupBy("label").agg(F.count("*").alias("n")).filter("n = 25").select("label")
-    pictures = ranked.join(whole, "label", "left_semi").groupBy("label").applyInPandas(picture, "label int, channel string, content binary")
-    return rounded(I.image_quality(pictures, "label").drop("error"), "slope", "percent")
+        np.save(buffer, whole.reshape(40, 40))
+        return pd.DataFrame({"name": [f"{key[0]}/{key[1]}"], "channel": ["DNA"], "content": [buffer.getvalue()]})
+
+    ranked = _numbered_vectors(load(spark, sf_dir, "embeddings")).withColumn("picture", F.floor(F.col("r") / 25))
+    pictures = ranked.groupBy("label", "picture").applyInPandas(picture, "name string, channel string, content binary")
+    name = F.split("name", "/")
+    made = I.image_quality(pictures, "name").select(name[0].cast("int").alias("label"), name[1].cast("long").alias("picture"), "channel", "slope", "percent")
+    return rounded(made, "slope", "percent")
 
 
 @query()

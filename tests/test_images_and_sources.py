@@ -158,3 +158,22 @@ def test_stream_of_files(spark, tmp_path):
     go()
     got = spark.read.parquet(str(tmp_path / "out")).collect()
     assert sorted((r["ImageNumber"], r["w"]) for r in got) == [(1, 4.0), (2, 6.0)]
+
+
+def test_every_vector_is_in_a_picture(spark, tmp_path):
+    from platelake.operators.images import percent_maximal, power_slope
+    from platelake.plans.catalog import QUERIES
+
+    rng = np.random.default_rng(3)
+    data = [(k * 3 + 1, 0 if k % 6 else 1, rng.normal(size=64).tolist()) for k in range(130)]
+    spark.createDataFrame(data, "vec_id long, label int, embedding array<double>").repartition(3).write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = {(r["label"], r["picture"]): (r["slope"], r["percent"]) for r in QUERIES["radial_power_slope"](spark, str(tmp_path)).collect()}
+    want = {}
+    for label in (0, 1):
+        x = np.concatenate([v for _, k, v in data if k == label])
+        for p in range(-(-len(x) // 1600)):
+            one = np.zeros(1600)
+            one[: len(x[p * 1600 : (p + 1) * 1600])] = x[p * 1600 : (p + 1) * 1600]
+            want[label, p] = power_slope(one.reshape(40, 40)), percent_maximal(one.reshape(40, 40))
+    assert set(got) == set(want) and len(want) == 6
+    assert all(np.allclose(got[k], want[k], atol=2e-6) for k in want)
