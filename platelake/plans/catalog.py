@@ -247,6 +247,24 @@ def well_profiles(spark, sf_dir):
     return rounded(made.drop("Image_ImageQC_flag"), "DNA_line", "DNA_quantity")
 
 
+@query(f"""WITH {SQL_OBJECTS}, ok AS (SELECT * FROM obj WHERE ImageQC_flag = 0),
+    s AS (SELECT Metadata_Plate, Metadata_Timepoint, Metadata_Well, count(DISTINCT Metadata_Site) AS n FROM ok GROUP BY ALL),
+    f AS (SELECT *, max(n) OVER (PARTITION BY Metadata_Plate, Metadata_Timepoint) / n::DOUBLE AS f FROM s),
+    w AS (SELECT Metadata_Plate, Metadata_Timepoint, Metadata_Well, avg(line * f) AS l, avg(quantity) AS q FROM ok JOIN f USING (Metadata_Plate, Metadata_Timepoint, Metadata_Well) GROUP BY ALL)
+    SELECT 'C' || (Metadata_Well % 5) AS Metadata_Compound, Metadata_Well % 3 AS Metadata_ConcLevel, Metadata_Well, CAST(Metadata_Plate AS VARCHAR) AS Metadata_Plate,
+    round(l, 6) AS DNA_line, round(q, 6) AS DNA_quantity, Metadata_Timepoint FROM w""")
+def well_profiles_all(spark, sf_dir):
+    """The chain from objects to annotated wells on all plates and times, which are group keys."""
+    keys = [*GROUP, "Metadata_Well"]
+    image = images(spark, sf_dir).select("ImageNumber", *keys, "Metadata_Site", "ImageQC_flag")
+    nuclei = qc.without_failing(measurements(spark, sf_dir).select("ImageNumber", "line", "quantity").join(image.drop("ImageQC_flag"), "ImageNumber"), image)
+    scaled = wells.scale_counts(prefixed(drop_bookkeeping(nuclei, (*keys, "Metadata_Site")), "DNA_"), GROUP).drop("Metadata_Site")
+    made = wells.aggregate_by(scaled, keys).withColumn("Metadata_Plate", F.col("Metadata_Plate").cast("string"))
+    plates = made.select("Metadata_Plate").distinct()
+    layout = spark.range(96).select(F.concat(F.lit("c"), F.col("id") % 5).alias("Metadata_Compound"), (F.col("id") % 3).alias("Metadata_ConcLevel"), F.col("id").alias("Metadata_Well")).crossJoin(plates)
+    return rounded(wells.annotate(made, wells.platemap_of(layout), ["Metadata_Plate", "Metadata_Well"]), "DNA_line", "DNA_quantity")
+
+
 @query(f"WITH {SQL_OBJECTS} SELECT ImageNumber, Metadata_Well, quantity, tax FROM obj")
 def drop_rules(spark, sf_dir):
     obj = objects(spark, sf_dir).withColumns({"URL_x": F.lit("u"), "ExecutionTime_x": F.lit(1.0)}).withColumn("Image", F.col("ImageNumber"))

@@ -229,3 +229,19 @@ def test_cosine_summary_has_no_limit_on_a_group(spark, tmp_path):
         assert r["n_pairs"] == len(c) and math.isclose(r["low"], c.min(), abs_tol=2e-6) and math.isclose(r["high"], c.max(), abs_tol=2e-6) and math.isclose(r["total"], c.sum(), abs_tol=2e-4)
     few = similarity.replicate_cosine_summary(df.filter("label = 2"), ["label"], "embedding", "vec_id", lane=1).first()
     assert few["n_pairs"] == 3
+
+
+def test_well_profiles_of_all_plates_and_times(spark):
+    """Every plate and time with a passing image has its profiles, and those of one are what the query on one gives."""
+    from platelake.plans.adapters import images, measurements
+    from platelake.plans.catalog import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    keys = ["Metadata_Plate", "Metadata_Timepoint"]
+    made = QUERIES["well_profiles_all"](spark, sf)
+    got = made.collect()
+    image = images(spark, sf).filter("ImageQC_flag = 0").join(measurements(spark, sf), "ImageNumber", "left_semi")
+    assert {(r[keys[0]], r[keys[1]], r["Metadata_Well"]) for r in got} == {(str(p), t, w) for p, t, w in image.select(*keys, "Metadata_Well").collect()}
+    assert len({(r[keys[0]], r[keys[1]]) for r in got}) > 1
+    one = QUERIES["well_profiles"](spark, sf)
+    assert rows(made.filter("Metadata_Plate = '1' AND Metadata_Timepoint = '1995'").select(*sorted(made.columns))) == rows(one.select(*sorted(one.columns)))
