@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +37,32 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet into the shared folder and read it again: lineage ends there and lost executors take nothing with them."""
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return _held(df.sparkSession.read.schema(df.schema).parquet(path), path)
+
+
+def bucketed(df: DataFrame, key: str, buckets: int, name: str) -> DataFrame:
+    """staged, as a table bucketed by key: joins on it deal out the other side only."""
+    spark, path = df.sparkSession, fresh_path(df.sparkSession, name)
+    table_ = path.rsplit("/", 1)[1].replace("-", "_")
+    df.repartition(buckets, key).write.bucketBy(buckets, key).option("path", path).saveAsTable(table_)
+    return _held(spark.table(table_), path)
+
+
+def _held(df: DataFrame, path: str) -> DataFrame:
+    df._staged_path = path
+    return df
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for df in tables:
+        remove(df.sparkSession, df._staged_path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder wherever Spark can write one."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,15 +109,3 @@ def lowered(array: pa.Array) -> pa.Array:
     """A string column with A-Z lower-cased, nulls as empty."""
     raw, at = byte_column(array)
     return pa.Array.from_buffers(pa.large_string(), len(array), [None, pa.py_buffer(at.astype(np.int64).tobytes()), pa.py_buffer(raw.tobytes().translate(LOWER))]).cast(pa.string())
-
-
-def batches(rows: Iterable[tuple], schema: pa.Schema, size: int = 4096) -> Iterator[pa.RecordBatch]:
-    """Record batches of at most size rows from tuples."""
-    held: list[tuple] = []
-    for row in rows:
-        held.append(row)
-        if len(held) >= size:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*held), schema)], schema=schema)
-            held = []
-    if held:
-        yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*held), schema)], schema=schema)

@@ -106,6 +106,20 @@ def test_substring_random(spark):
     assert all(sha(r["kept"].encode()) == r["kept_sha256"] for r in got)
 
 
+def test_substring_words_of_one_pattern_are_told_apart(spark):
+    """A Thue-Morse word and its complement cancel out in sums of powers modulo 2^64; so would sequences of two words."""
+    common = " ".join(f"c{k}" for k in range(34))
+    rows = []
+    for n in (1024, 2048, 64):
+        bits = [k.bit_count() % 2 for k in range(n)]
+        sep, pair = ("", "ab") if n > 64 else (" ", ("one", "two"))
+        rows += [(len(rows) + i, f"{common} " * (n > 64) + sep.join(pair[b ^ i] for b in bits)) for i in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = remove_repeats(docs).collect()
+    assert cut_told(got) == substring_rule(rows, 35)
+    assert [r["n_removed"] for r in sorted(got)][:4] == [0, 0, 0, 0]
+
+
 def test_substring_nothing_repeats_and_empty(spark, empty):
     docs = spark.createDataFrame([(1, " ".join(f"u{i}" for i in range(100)))], "doc_id long, text string")
     assert [r[1:3] for r in remove_repeats(docs).collect()] == [(100, 0)]
