@@ -95,10 +95,10 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = max(doc_id) OVER g AS kept, sha256(t) AS text_sha256
         FROM norm WINDOW g AS (PARTITION BY t)""",
-    # The slots of a source take its stream from the start, over and over, until its rounded target is reached.
+    # Golden-ratio slots choose sources, in tiers of block lengths; the n-th slot of a source takes its n-th block.
     "op9_mixing": r"""
         WITH sized AS (
-            SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS o,
+            SELECT doc_id, source, md5(CAST(doc_id AS VARCHAR)) AS o,
                    CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
         sums AS (SELECT source, CAST(sum(size) AS BIGINT) AS s FROM sized GROUP BY source),
         weighed AS (SELECT source, s, CAST([5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS BIGINT) AS w FROM sums),
@@ -106,10 +106,21 @@ ORACLES: dict[str, str] = {
             SELECT source, s, w, CAST(sum(s) OVER () - coalesce(sum(3 * s) OVER f, 0) AS DOUBLE) / CAST(sum(w) OVER () - coalesce(sum(w) OVER f, 0) AS DOUBLE) AS level
             FROM weighed WINDOW f AS (ORDER BY 3 * s / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
         targets AS (SELECT source, s, least(CAST(3 * s AS DOUBLE), max(level) OVER () * w) AS target FROM levels),
+        tiered AS (SELECT *, CAST(CASE WHEN target >= 1024 * 512 THEN 1024 WHEN target >= 64 * 512 THEN 64 WHEN target >= 4 * 512 THEN 4 ELSE 1 END AS BIGINT) AS b FROM targets),
+        spans AS (
+            SELECT source, b, coalesce(sum(target) OVER (t ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / sum(target) OVER (PARTITION BY b) AS lo,
+                   CASE WHEN lead(b) OVER t IS NULL THEN 2.0 ELSE sum(target) OVER (t ROWS UNBOUNDED PRECEDING) / sum(target) OVER (PARTITION BY b) END AS hi
+            FROM tiered WHERE target > 0 WINDOW t AS (PARTITION BY b ORDER BY source NULLS FIRST)),
+        slots AS (
+            SELECT b, (i * 0.6180339887498949::DOUBLE) % 1.0::DOUBLE AS u
+            FROM (SELECT b, unnest(range(CAST(ceil(sum(target) / b - 0.5) AS BIGINT))) AS i FROM tiered GROUP BY b)),
+        got AS (SELECT source, count(*) AS got FROM spans JOIN slots ON spans.b = slots.b AND u >= lo AND u < hi GROUP BY source),
+        drawn AS (
+            SELECT t.source, s, target, b, (s + b - 1) // b AS per, least(coalesce(got, 0), 3 * ((s + b - 1) // b)) AS n
+            FROM tiered t LEFT JOIN got ON t.source IS NOT DISTINCT FROM got.source),
         streams AS (
-            SELECT doc_id, source, size, CAST(sum(size) OVER (PARTITION BY source ORDER BY o, size ROWS UNBOUNDED PRECEDING) AS BIGINT) - size AS a FROM sized)
+            SELECT doc_id, source, size, CAST(sum(size) OVER (PARTITION BY source ORDER BY o NULLS LAST, size ROWS UNBOUNDED PRECEDING) AS BIGINT) - size AS a FROM sized)
         SELECT doc_id, size, t.s AS source_size, t.target AS target,
-               CASE WHEN size = 0 THEN 0 ELSE CAST(round(t.target) AS BIGINT) // t.s * size
-                    + greatest(0, least(a + size, CAST(round(t.target) AS BIGINT) % t.s) - a) END AS taken
-        FROM streams d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source""",
+               CAST(CASE WHEN size = 0 THEN 0 ELSE n // per * size + greatest(0, least(a + size, n % per * b) - a) END AS BIGINT) AS taken
+        FROM streams d JOIN drawn t ON d.source IS NOT DISTINCT FROM t.source""",
 }

@@ -66,20 +66,43 @@ def target_rule(sizes, weights=(5, 2, 1), most=3):
         held |= {s: Fraction(most * sizes[s]) for s in above}
 
 
-def mix_rule(rows, weights=(5, 2, 1)):
+def slots_rule(targets, block):
+    """How many golden-ratio slots each source gets, and its block length."""
+    lengths = [max(1, block)]
+    while lengths[-1] > 1:
+        lengths.append(max(1, lengths[-1] // 16))
+    length = {s: next((n for n in lengths if t >= n * 512), 1) for s, t in targets.items() if t > 0}
+    got = dict.fromkeys(targets, 0)
+    for n in lengths:
+        names = sorted((s for s in length if length[s] == n), key=lambda s: (s is not None, s or ""))
+        total = sum(targets[s] for s in names)
+        for i in range(math.ceil(total / n - 0.5)):
+            u, at = i * mixing.STEP % 1.0, 0.0
+            for s in names:
+                at += targets[s]
+                if u < at / total or s == names[-1]:
+                    got[s] += 1
+                    break
+    return got, length
+
+
+def mix_rule(rows, weights=(5, 2, 1), block=1024, slots=slots_rule):
     sizes = defaultdict(int)
     for _, t, _, s, *_ in rows:
         sizes[s] += count(t)
     targets = target_rule(sizes, weights)
+    got, length = slots(targets, block)
     streams = defaultdict(list)
     for i, t, _, s, *_ in rows:
-        streams[s].append((hashlib.md5(("" if i is None else str(i)).encode()).hexdigest(), count(t), i))
+        streams[s].append((i is None, "" if i is None else hashlib.md5(str(i).encode()).hexdigest(), count(t), i))
     out = []
     for s, docs in streams.items():
-        at, words = 0, math.floor(targets[s] + 0.5)
-        for _, n, i in sorted(docs, key=lambda d: d[:2]):
-            full, rest = divmod(words, sizes[s]) if sizes[s] else (0, 0)
-            out.append((str(i), n, sizes[s], round(targets[s], 6), full * n + max(0, min(at + n, rest) - at)))
+        b = length.get(s, 1)
+        per = -(-sizes[s] // b)
+        full, rest = divmod(min(got[s], 3 * per), per) if per else (0, 0)
+        at = 0
+        for _, _, n, i in sorted(docs, key=lambda d: d[:3]):
+            out.append((str(i), n, sizes[s], round(targets[s], 6), full * n + max(0, min(at + n, rest * b) - at)))
             at += n
     return sorted(out)
 
@@ -91,7 +114,7 @@ def mixed(found):
 @pytest.mark.parametrize("block", [1024, 7])
 def test_mix_awkward(awkward, block):
     got = mixed(mixing.mix_sources(awkward, block_words=block).collect())
-    assert got == mix_rule(awkward_rows())
+    assert got == mix_rule(awkward_rows(), block=block)
     assert all(taken <= 3 * size for _, size, _, _, taken in got)
 
 
@@ -99,10 +122,45 @@ def test_mix_caps_and_tiny_sources(spark):
     rows = [(i, "w " * (400 if i % 5 else 3), "en", f"s{min(i % 9, 6)}" if i % 8 else None, 0) for i in range(90)] + [(999, "one", "en", "zz", 0)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     got = mixed(mixing.mix_sources(docs, weights=(50, 1), block_words=16).collect())
-    assert got == mix_rule(rows, (50, 1))
+    assert got == mix_rule(rows, (50, 1), 16)
     assert mixed(mixing.mix_sources(docs.repartition(7), weights=(50, 1), block_words=16).collect()) == got
 
 
+def near_targets(got, sources):
+    """Taken words of each source against its target."""
+    sums, target = defaultdict(int), {}
+    for i, _, _, t, taken in got:
+        sums[sources[i]] += taken
+        target[sources[i]] = t
+    assert all(abs(sums[s] - t) <= max(3, 0.01 * t) for s, t in target.items()), (sums, target)
+
+
+def test_targets_are_met(spark, corpus):
+    docs = [(i, "w " * (1 + i * 7 % 900), "en", f"s{i % 13 if i % 3 else 0}", 0) for i in range(3000)]
+    got = mixed(mixing.mix_sources(spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long")).collect())
+    near_targets(got, {str(i): s for i, _, _, s, _ in docs})
+    got = mixed(mixing.mix_sources(corpus).collect())
+    near_targets(got, {str(r["doc_id"]): r["source"] for r in corpus.collect()})
+
+
+def test_the_schedule_decides(spark, monkeypatch):
+    """What a source is given depends on its slots: another schedule gives another mix."""
+    docs = spark.createDataFrame([(i, "w " * 500, "en", f"s{i % 3}", 0) for i in range(300)], "doc_id long, text string, lang string, source string, n_chars long")
+    real = mixing.schedule
+    before = mixed(mixing.mix_sources(docs).collect())
+    monkeypatch.setattr(mixing, "schedule", lambda sources, slots: real(sources.filter("source = 's0'"), slots))
+    one = mixed(mixing.mix_sources(docs).collect())
+    assert sum(r[-1] for r in one) < sum(r[-1] for r in before) and {r[-1] for r in one} >= {0}
+    monkeypatch.setattr(mixing, "schedule", lambda sources, slots: real(sources, min(slots, 1)))
+    assert sum(r[-1] for r in mixed(mixing.mix_sources(docs).collect())) <= 3 * 1024
+
+
+def test_many_rows_without_identifier(spark):
+    rows = [(None, "a b c", None, "s", 0)] * 400 + [(k, "x y", None, "t", 0) for k in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    assert mixed(mixing.mix_sources(docs).collect()) == mix_rule(rows)
+
+
 def test_mix_without_words(spark, empty):
     assert mixing.mix_sources(empty).collect() == []
     docs = spark.createDataFrame([(1, None, "en", None, 0), (2, "", "en", "a", 0)], "doc_id long, text string, lang string, source string, n_chars long")
