@@ -40,6 +40,26 @@ def test_top_k_awkward(spark):
     assert sorted(map(tuple, got.collect())) == sorted(want)
 
 
+def test_top_k_large_values(spark):
+    """Scores are exact where a sum needs more than 53 bits, and an error where it fits no long; clashing names do no harm."""
+    rng = random.Random(7)
+    rows = [(100, [1.0, 1.0]), (1, [20000.0, 0.0]), (2, [9000.0, 0.0]), (200, [1e6 + 0.25, -3e5])]
+    rows += [(1000 + 7 * k, [rng.uniform(-1e6, 1e6) for _ in range(3)]) for k in range(60)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").selectExpr("*", "'x' AS q", "1 AS id", "2 AS v", "'l' AS lane", "0 AS kind", "9 AS score")
+    got = sorted(map(tuple, top_k(df, df.filter("vec_id % 100 = 0"), shard=16).collect()))
+    want = []
+    for q, w in ((i, v) for i, v in rows if i % 100 == 0):
+        best = sorted((-sum(math.floor(1024 * a) * math.floor(1024 * b) for a, b in zip(w, v)), i) for i, v in rows if i != q)[:10]
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    assert got == sorted(want)
+    assert max(s for *_, s in got) > 2**53
+    few = spark.createDataFrame([(100, [1e9]), (1, [1e9]), (2, [1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="does not fit a long"):
+        top_k(few, few.filter("vec_id = 100")).collect()
+    zero = spark.createDataFrame([(100, [0.0, 1.0]), (1, [1e20, 2.0])], "vec_id long, embedding array<double>")
+    assert [tuple(r) for r in top_k(zero, zero.filter("vec_id = 100")).collect()] == [(100, 1, 1, 2 * 1024 * 1024)]
+
+
 def test_top_k_empty(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert top_k(none, none).collect() == []
