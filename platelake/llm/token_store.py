@@ -4,12 +4,14 @@ A file is a shard: a consecutive range of documents in ascending order of their
 
     block   'PLB1', width u8, 3 zero bytes, n_docs u32, n_ids u64, doc ids i64[n_docs], known u8[n_docs],
             ends u64[n_docs] (running count of ids), packed ids, padded to 8 bytes, then one line feed
-    footer  'PLF1', shard u32, n_blocks u32, n_docs u64, n_ids u64, block offsets u64[n_blocks], footer offset u64,
-            'PLE1', then one line feed
-
-Each id takes the bits that the vocabulary needs, lowest bit first, so that numpy unpacks any range of a block at once and
-one document is found by two binary searches. Spark's own writer puts the records into files (they are rows whose line end
-is the final line feed), so any store that Spark reaches will do and lost tasks are committed once.
+    footer  'PLF2', shard u32, n_blocks u32, n_docs u64, n_ids u64, block offsets u64[n_blocks], documents before each block
+            u64[n_blocks], first doc id of each block i64[n_blocks], whether it is known u8[n_blocks], footer offset u64, 'PLE1',
+            then one line feed
+
+Each id takes the bits that the vocabulary needs, lowest bit first, so that numpy unpacks any range of a block at once. A
+document is found by two binary searches, by its place or by its identifier: over the footer's blocks, then within one block.
+Spark's own writer puts the records into files (they are rows whose line end is the final line feed), so any store that Spark
+reaches will do and lost tasks are committed once.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ import re
 import struct
 import zlib
 from array import array
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -29,10 +32,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from platelake.llm.byte_bpe import byte_letters
-from platelake.llm.shared import n_partitions
+from platelake.llm.shared import n_partitions, staged
 
 #: Ids in a block; one longer document makes one longer block.
 BLOCK_IDS = 1 << 16
+#: Bytes of text in a shard, about.
+SHARD_BYTES = 128 << 20
 _HEAD = struct.Struct("<4sB3xIQ")
 _FOOT = struct.Struct("<4sIIQQ")
 
@@ -75,12 +80,14 @@ def block_record(docs: list[tuple[int | None, np.ndarray]], width: int) -> bytes
 
 def records(docs: Iterator[tuple[int | None, np.ndarray]], width: int, shard: int) -> Iterator[bytes]:
     """The records of one shard, without the line feeds that end them; none if there is no document."""
-    offsets, at, held, size, n_docs, n_ids = [], 0, [], 0, 0, 0
+    offsets, starts, firsts, at, held, size, n_docs, n_ids = [], [], [], 0, [], 0, 0, 0
 
     def cut() -> bytes:
         nonlocal at
         block = block_record(held, width)
         offsets.append(at)
+        starts.append(n_docs - len(held))
+        firsts.append(held[0][0])
         at += len(block) + 1
         return block
 
@@ -93,7 +100,8 @@ def records(docs: Iterator[tuple[int | None, np.ndarray]], width: int, shard: in
     if held:
         yield cut()
     if n_docs:
-        yield _FOOT.pack(b"PLF1", shard, len(offsets), n_docs, n_ids) + np.array([*offsets, at], "<u8").tobytes() + b"PLE1"
+        names = np.array([0 if i is None else i for i in firsts], "<i8").tobytes() + bytes(i is not None for i in firsts)
+        yield _FOOT.pack(b"PLF2", shard, len(offsets), n_docs, n_ids) + np.array([*offsets, *starts], "<u8").tobytes() + names + struct.pack("<Q", at) + b"PLE1"
 
 
 class Shard:
@@ -105,47 +113,67 @@ class Shard:
             raise ValueError("not a whole token file")
         at = struct.unpack_from("<Q", self.data, len(data) - 13)[0]
         _, self.number, n, self.n_docs, self.n_ids = _FOOT.unpack_from(self.data, at)
-        self.offsets = np.frombuffer(self.data, "<u8", n, at + _FOOT.size).tolist()
-
-    def block(self, k: int) -> tuple[list[int | None], np.ndarray, Callable[[int, int], np.ndarray]]:
-        """Identifiers, running ends and a reader of id ranges of block k."""
+        at += _FOOT.size
+        self.offsets = np.frombuffer(self.data, "<u8", n, at).tolist()
+        self.starts = np.frombuffer(self.data, "<u8", n, at + 8 * n).tolist()
+        firsts = np.frombuffer(self.data, "<i8", n, at + 16 * n).tolist()
+        known = np.frombuffer(self.data, np.uint8, n, at + 24 * n).tolist()
+        self.firsts = [(bool(k), i) for i, k in zip(firsts, known)]  # documents without an identifier come first
+
+    def block(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, Callable[[int, int], np.ndarray]]:
+        """Identifiers, which of them are known, running ends and a reader of id ranges of block k; nothing is copied."""
         at = self.offsets[k]
         magic, width, n, _ = _HEAD.unpack_from(self.data, at)
         if magic != b"PLB1":
             raise ValueError("broken block")
-        names = np.frombuffer(self.data, "<i8", n, at := at + _HEAD.size).tolist()
+        names = np.frombuffer(self.data, "<i8", n, at := at + _HEAD.size)
         known = np.frombuffer(self.data, np.uint8, n, at := at + 8 * n)
-        ends = np.frombuffer(self.data, "<u8", n, at := at + n).astype(np.int64)
+        ends = np.frombuffer(self.data, "<u8", n, at := at + n)
         body = self.data[at + 8 * n :]
-        return [i if k else None for i, k in zip(names, known)], ends, lambda a, b: unpack(body, width, a, b)
+        return names, known, ends, lambda a, b: unpack(body, width, a, b)
 
     def documents(self) -> Iterator[tuple[int | None, int, np.ndarray]]:
         """(identifier, ids before it in this shard, its ids), block by block."""
         before = 0
         for k in range(len(self.offsets)):
-            names, ends, read = self.block(k)
+            names, known, ends, read = self.block(k)
             ids = read(0, int(ends[-1]))
             a = 0
-            for name, b in zip(names, ends.tolist()):
-                yield name, before + a, ids[a:b]
+            for name, ok, b in zip(names.tolist(), known.tolist(), ends.tolist()):
+                yield name if ok else None, before + a, ids[a:b]
                 a = b
             before += a
 
     def document(self, n: int) -> np.ndarray:
         """The ids of the shard's n-th document alone, by random access."""
-        for k in range(len(self.offsets)):
-            names, ends, read = self.block(k)
-            if n < len(names):
-                return read(int(ends[n - 1]) if n else 0, int(ends[n]))
-            n -= len(names)
-        raise IndexError(n)
+        if not 0 <= n < self.n_docs:
+            raise IndexError(n)
+        k = bisect_right(self.starts, n) - 1
+        _, _, ends, read = self.block(k)
+        n -= self.starts[k]
+        return read(int(ends[n - 1]) if n else 0, int(ends[n]))
+
+    def find(self, doc_id: int) -> range:
+        """Places of the documents of this identifier, for document(); empty if there is none."""
+        low, high = bisect_left(self.firsts, (True, doc_id)) - 1, bisect_right(self.firsts, (True, doc_id)) - 1
+
+        def place(k: int, side: str) -> int:
+            if k < 0:
+                return 0
+            names, known, _, _ = self.block(k)
+            unknown = len(known) - int(np.count_nonzero(known))
+            return self.starts[k] + unknown + int(np.searchsorted(names[unknown:], doc_id, side))
+
+        return range(place(low, "left"), place(high, "right"))
 
 
 def write_tokens(docs: DataFrame, path: str, encoder: Callable[[], Callable[[list[str]], list[np.ndarray]]], vocabulary: int, end_id: int | None = 0, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode every whole text and write shards below path, ascending by identifier.
 
     encoder makes, on the executor, a function from texts to arrays of ids. end_id is appended to each document. Null texts
-    count as empty; null identifiers come first and stay null; repeated rows are all written, in the order of their texts.
+    count as empty; null identifiers come first and stay null; repeated rows are all written, rows of one identifier in the order
+    of their texts' first characters and a hash. Shards are ranges of about SHARD_BYTES of text, in which rows of one identifier
+    (or of none) may spread over many. An empty table gives files without records. Other columns are not read.
     """
     width = width_of(vocabulary)
 
@@ -164,7 +192,10 @@ def write_tokens(docs: DataFrame, path: str, encoder: Callable[[], Callable[[lis
             yield pa.RecordBatch.from_arrays([pa.array([r], pa.binary())], names=["record"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    ordered = rows.repartitionByRange(n_partitions(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id", "text")
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    keys = ["doc_id", "head", "hash", "nth"]  # what a range ends at stays short
+    spread = rows.withColumns({"head": F.substring("text", 1, 32), "hash": F.xxhash64("text"), "nth": F.monotonically_increasing_id()})
+    ordered = spread.repartitionByRange(max(n_partitions(docs.sparkSession), size // SHARD_BYTES), *keys).sortWithinPartitions(*keys).select("doc_id", "text")
     ordered.mapInArrow(shard, "record binary").select(F.col("record").cast("string").alias("record")).write.option("lineSep", "\n").option("compression", "none").text(path)
 
 
@@ -196,15 +227,11 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
             arrays, names = [*arrays, pa.array(cols[5], pa.list_(pa.int64()))], [*names, "ids"]
         return pa.RecordBatch.from_arrays(arrays, names=names)
 
-    def totals(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in parts:
-            found = [Shard(data.as_py()) for data in b.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array([s.number for s in found], pa.int32()), pa.array([s.n_ids for s in found], pa.int64())], names=["shard", "n_ids"])
-
     schema = "shard int, doc_id long, at long, n_tokens long, ids_crc32 long" + ", ids array<long>" * with_ids
-    docs = _files(spark, path).mapInArrow(documents, schema)
+    docs = staged(_files(spark, path).mapInArrow(documents, schema), "token-documents")
     # One row a file: the running sum over files is small whatever the corpus.
-    before = _files(spark, path).mapInArrow(totals, "shard int, n_ids long").select("shard", (F.sum("n_ids").over(Window.orderBy("shard")) - F.col("n_ids")).alias("before"))
+    sums = docs.groupBy("shard").agg(F.sum("n_tokens").alias("n"))
+    before = sums.select("shard", (F.sum("n").over(Window.orderBy("shard")) - F.col("n")).alias("before"))
     return docs.join(before, "shard").select("doc_id", (F.col("before") + F.col("at")).alias("start"), "n_tokens", "ids_crc32", *(["ids"] if with_ids else []))
 
 
@@ -212,7 +239,8 @@ def byte_bpe_encoder(tokenizer_json: str, cache: int = 250_000) -> Callable[[],
     """An encoder by the tokenizers library for write_tokens.
 
     A blank that follows a character other than white space always starts a pre-token, so texts are cut there and each
-    different piece is encoded once while the bounded cache holds it.
+    different piece is encoded once while the bounded cache holds it. Texts that hold one of the tokenizer's added tokens
+    literally are left to the library as they are.
     """
     return lambda: PieceEncoder.shared(tokenizer_json, cache)
 
@@ -229,7 +257,7 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_json)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         if hasattr(self.tokenizer.model, "_resize_cache"):
             self.tokenizer.model._resize_cache(0)  # this class has its own
         self.limit = cache
@@ -305,8 +333,10 @@ class PieceEncoder:
             self.cache, self.old = {}, self.cache
         if len(self.other) > self.limit:
             self.other = {}
-        cut = [self.pieces(t) for t in texts]
+        added = [any(a in t for a in self.added) for t in texts]
+        cut = [self.pieces("" if x else t) for x, t in zip(added, texts)]
         heads = [self.whole(x.pop(0)) for x in cut]
         self.fill(set().union(*cut).difference(self.cache))
         get = self.cache.__getitem__
-        return [np.frombuffer(b"".join([h, *map(get, x)]), np.uint32) for h, x in zip(heads, cut)]
+        found = [np.frombuffer(b"".join([h, *map(get, x)]), np.uint32) for h, x in zip(heads, cut)]
+        return [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, np.uint32) if x else f for x, t, f in zip(added, texts, found)]

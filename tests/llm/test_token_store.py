@@ -39,15 +39,18 @@ def test_shard_with_odd_width_and_random_access(monkeypatch):
     assert [shard.document(n).tolist() for n in (0, 5, 11)] == [docs[n][1].tolist() for n in (0, 5, 11)]
     with pytest.raises(IndexError):
         shard.document(12)
+    ids = [None, None, None, 2, 2, 2, 5, 7, 7, 7, 7, 9]
+    named = ts.Shard(b"".join(r + b"\n" for r in ts.records(iter([(i, np.full(4, n, np.uint32)) for n, i in enumerate(ids)]), 10, 0)))
+    for i in (-3, 0, 2, 3, 5, 7, 9, 11):
+        assert list(named.find(i)) == [n for n, x in enumerate(ids) if x == i]
+        assert all(named.document(n).tolist() == [n] * 4 for n in named.find(i))
     with pytest.raises(ValueError):
         ts.Shard(data[:-9])
 
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(JSON)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(JSON)
 
 
 @settings(max_examples=300, deadline=None)
@@ -57,6 +60,13 @@ def test_pieces_encode_like_whole_texts(tokenizer, text):
     assert encode([text])[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_added_tokens_as_the_library_has_them(tokenizer):
+    encode = ts.PieceEncoder.shared(JSON, 1000)
+    texts = ["hello <|endoftext|> there", "<|endoftext|>", "a<|endoftext|><|endoftext|> b", "<|endoftext", "plain"]
+    assert [x.tolist() for x in encode(texts)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert 50256 in encode(texts)[0]
+
+
 def test_cache_turns_keep_results(tokenizer):
     encode = ts.PieceEncoder(JSON, 20)
     texts = [f"word{i} common, tail{i}. foo" for i in range(60)]
@@ -84,6 +94,23 @@ def test_files_hold_every_document(spark, awkward, tokenizer):
     assert one["ids"][:-1] == tokenizer.encode(awkward_rows()[15][1], add_special_tokens=False).ids and one["ids"][-1] == 0
 
 
+def test_one_identifier_over_many_shards(spark, tokenizer):
+    rows = [(None, f"text {k % 7}") for k in range(300)] + [(5, "same")] * 100
+    path = fresh_path(spark, "t")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        ts.write_tokens(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), path, ts.byte_bpe_encoder(JSON), 50_257)
+        got = ts.read_tokens(spark, path).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert spark.read.format("binaryFile").load(path).filter("length > 0").count() > 8
+    at = 0
+    for r in sorted(got, key=lambda r: r["start"]):
+        assert r["start"] == at
+        at += r["n_tokens"]
+    assert [r["doc_id"] for r in sorted(got, key=lambda r: r["start"])] == [None] * 300 + [5] * 100
+
+
 def test_empty_table(spark, empty):
     path = fresh_path(spark, "t")
     ts.write_tokens(empty, path, ts.byte_bpe_encoder(JSON), 50_257)
