@@ -5,13 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from platelake.llm.shared import staged
+from platelake.llm.shared import discard, staged
+
+
+def joined_with_sums(rows: DataFrame, sums: DataFrame, keys: list[str]) -> DataFrame:
+    """rows joined with sums, which has a row for each of keys and comes from a grouping by them.
+
+    Joined on the keys alone, a partition of rows could not be split, as the grouping's shuffle is used again. The further key,
+    always 0, gives both sides shuffles of their own, of which adaptive execution splits those that a hot key makes large."""
+    zero = F.pmod(F.xxhash64(*keys), F.lit(1)).alias("zero_")
+    return rows.select("*", zero).join(sums.select("*", zero), [*keys, "zero_"]).drop("zero_")
 
 
 def _least_neighbour(edges: DataFrame) -> DataFrame:
     """edges (u, v) with m, the least of u and all of u's v."""
     least = edges.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-    return edges.join(least, "u")
+    return joined_with_sums(edges, least, ["u"])
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -27,7 +36,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = _least_neighbour(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         small = _least_neighbour(large)
         pairs = small.select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v")
-        now = staged(pairs.filter("u <> v").distinct(), "edges")
+        before, now = now, staged(pairs.filter("u <> v").distinct(), "edges")
+        discard(before)
         seen = now.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if seen == mark:
             break

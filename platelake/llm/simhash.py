@@ -15,8 +15,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from platelake.llm.components import components
-from platelake.llm.shared import row_bytes, staged
+from platelake.llm.components import components, joined_with_sums
+from platelake.llm.shared import discard, row_bytes, staged
 
 #: Fingerprints in a bucket that one task compares pair by pair; larger buckets take the way by neighbours.
 BUCKET = 4096
@@ -82,31 +82,34 @@ def _linked(parts: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordB
 def links(classes: DataFrame, radius: int = 2, bucket: int = BUCKET) -> DataFrame:
     """Edges (u, v) that connect exactly the fingerprints (column fp, distinct) reachable by steps of at most radius bits.
 
-    Buckets of up to bucket fingerprints are compared in memory. The members of larger ones meet at the words within one bit of
-    them: two words are within two bits if and only if such a word is common to both, at most 65 fingerprints meet at one, and
-    all of those are linked. That way holds for a radius of 2 (larger buckets of other radii raise an error)."""
+    Buckets of up to bucket fingerprints are compared in memory. For a radius of 2 the members of larger ones meet at the words
+    within one bit of them: two words are within two bits if and only if such a word is common to both, at most 65 fingerprints
+    meet at one, and all of those are linked. For other radii a larger bucket is dealt to lanes, which meet in pairs."""
     rows = classes.select("fp", F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m)) for m in masks(radius)))).alias("t", "key"))
     sizes = rows.groupBy("t", "key").agg(F.count("*").alias("n")).filter("n > 1")
-    held = staged(rows.join(sizes, ["t", "key"]), "simhash-buckets")
+    held = staged(joined_with_sums(rows, sizes, ["t", "key"]), "simhash-buckets")
     small = held.filter(F.col("n") <= bucket).groupBy("t", "key").agg(F.collect_list("fp").alias("fps")).select("fps")
     edges = small.mapInArrow(lambda parts: _linked(parts, radius), "u long, v long")
-    hot = held.filter(F.col("n") > bucket).select("fp").distinct()
+    hot = held.filter(F.col("n") > bucket)
     if radius != 2:
-        wrong = F.raise_error(F.lit("a bucket is too large for this radius")).cast("long")
-        return edges.unionAll(hot.select(wrong.alias("u"), wrong.alias("v")))
+        lanes = F.ceil(F.col("n") / bucket).cast("int")
+        dealt = hot.withColumns({"lanes": lanes, "lane": F.pmod(F.xxhash64("fp"), lanes).cast("int")}).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("lanes") - 1)))
+        pairs = dealt.groupBy("t", "key", F.least("lane", "other").alias("a"), F.greatest("lane", "other").alias("b")).agg(F.collect_list("fp").alias("fps")).select("fps")
+        return edges.unionAll(pairs.mapInArrow(lambda parts: _linked(parts, radius), "u long, v long"))
+    hot = hot.select("fp").distinct()
     steps = F.array(F.lit(0).cast("long"), *(F.lit((1 << b) - (1 << 64) if b == 63 else 1 << b) for b in range(_BITS)))
     met = hot.select("fp", F.explode(steps).alias("bit")).groupBy(F.col("fp").bitwiseXOR(F.col("bit")).alias("z")).agg(F.collect_set("fp").alias("fps"), F.min("fp").alias("v"))
     return edges.unionAll(met.filter(F.size("fps") > 1).select(F.explode("fps").alias("u"), "v").filter("u <> v"))
 
 
-def simhash_components(docs: DataFrame, radius: int = 2, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+def simhash_components(docs: DataFrame, radius: int = 2, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), shingle: int = 3) -> DataFrame:
     """One row per input row: doc_id, fingerprint (16 hex digits), component_id (least doc_id of its component), n_class, root, and carry.
 
     Texts are lower-cased in A-Z; fewer words than a shingle count whole; texts without words (null, empty) have fingerprint
     zero and are linked like any other. n_class counts the rows with the same fingerprint. Null identifiers are passed over
     when the least is chosen; repeated rows are rows of their own. An empty input gives an empty result.
     """
-    fps = staged(fingerprints(docs, id_col, text_col, carry=carry), "simhash-fingerprints")
+    fps = staged(fingerprints(docs, id_col, text_col, shingle, carry), "simhash-fingerprints")
     classes = staged(fps.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n_class")), "simhash-classes")
     roots = components(links(classes.select("fp"), radius))
     named = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))

@@ -187,8 +187,8 @@ def test_simhash_query(spark, corpus):
     assert near_told(QUERIES["op8_simhash"](spark, "/root/testdata/sf0.001").collect()) == component_rule([(r["doc_id"], r["text"]) for r in corpus.collect()])
 
 
-@pytest.mark.parametrize("bucket", [4096, 3])
-def test_links_reach_what_pairs_reach(spark, bucket):
+@pytest.mark.parametrize("bucket, radius", [(4096, 2), (3, 2), (4096, 4), (3, 4), (3, 0)])
+def test_links_reach_what_pairs_reach(spark, bucket, radius):
     rng = random.Random(5)
     fps = set()
     for _ in range(12):
@@ -198,7 +198,7 @@ def test_links_reach_what_pairs_reach(spark, bucket):
             for _ in range(rng.randint(1, 3)):
                 at ^= 1 << rng.randrange(64)
     signed = lambda f: f - (1 << 64) if f >> 63 else f
-    edges = simhash.links(spark.createDataFrame([(signed(f),) for f in fps], "fp long"), bucket=bucket)
+    edges = simhash.links(spark.createDataFrame([(signed(f),) for f in fps], "fp long"), radius, bucket)
     got = {r["node"]: r["root"] for r in components(edges).collect()}
     group = {f: f for f in fps}
 
@@ -209,7 +209,7 @@ def test_links_reach_what_pairs_reach(spark, bucket):
 
     for a in fps:
         for b in fps:
-            if 0 < (a ^ b).bit_count() <= 2:
+            if 0 < (a ^ b).bit_count() <= radius:
                 group[find(a)] = find(b)
     for a in fps:
         for b in fps:
