@@ -1,7 +1,9 @@
-"""Near-duplicates by the Jaccard similarity of word shingles: MinHash bands find what may be alike, shingle sets decide.
+"""The exact check behind the SimHash stage of a pipeline: five-word Jaccard similarity within clusters of candidates.
 
-Documents that agree in all hashes of some band are joined to clusters of candidates. Each cluster's shingle sets are then compared
-in full, in pairs of lanes, so that no cluster has to fit one task and every pair of its documents meets.
+Few bits of 64 tell only the closest copies; at a similarity of 0.8 about ten bits differ. So candidates also come from MinHash
+bands of the same shingles: documents that agree in all hashes of some band join a cluster, as do those that the fingerprints
+link. Each cluster's shingle sets are then compared in full, in pairs of lanes, so that no cluster has to fit one task and every
+pair of its documents meets.
 """
 
 from __future__ import annotations
@@ -14,8 +16,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from platelake.llm.components import components
-from platelake.llm.shared import row_bytes, staged
+from platelake.llm.components import components, joined_with_sums
+from platelake.llm.shared import discard, row_bytes, staged
 
 #: Bands and hashes in a band: of pairs at similarity 0.8 all but 1 in 12,000 agree in some band, above it fewer are missed.
 BANDS, ROWS = 40, 7
@@ -81,10 +83,11 @@ def linked(ids: np.ndarray, sets: list[np.ndarray], similarity: float) -> tuple[
     return tuple(np.concatenate(x) if x else np.zeros(0, np.int64) for x in (us, vs))
 
 
-def jaccard_components(docs: DataFrame, row: str, text_col: str = "text", size: int = 5, similarity: float = 0.8) -> DataFrame:
+def jaccard_components(docs: DataFrame, row: str, linked_before: DataFrame | None = None, text_col: str = "text", size: int = 5, similarity: float = 0.8) -> DataFrame:
     """(node, root) for every row, by its number in column row, that is joined to others by steps of at least this similarity.
 
-    Texts are lower-cased in A-Z, words end at ASCII white space, repeats count once. Shingles are compared by 64-bit hashes."""
+    linked_before (u, v) are further candidates. Texts are lower-cased in A-Z, words end at ASCII white space, repeats count
+    once. Shingles are compared by 64-bit hashes."""
     rows = docs.select(F.col(row).alias("row"), F.col(text_col).alias("text"))
 
     def bands(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,7 +101,11 @@ def jaccard_components(docs: DataFrame, row: str, text_col: str = "text", size:
 
     keyed = staged(rows.mapInArrow(bands, "row long, band int, key long"), "jaccard-bands")
     met = keyed.groupBy("band", "key").agg(F.min("row").alias("v"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    clusters = staged(components(keyed.join(met, ["band", "key"]).select(F.col("row").alias("u"), "v")), "jaccard-clusters")
+    edges = joined_with_sums(keyed, met, ["band", "key"]).select(F.col("row").alias("u"), "v")
+    if linked_before is not None:
+        edges = edges.unionAll(linked_before.select("u", "v"))
+    clusters = staged(components(edges), "jaccard-clusters")
+    discard(keyed)
 
     def sets(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in parts:
@@ -107,9 +114,10 @@ def jaccard_components(docs: DataFrame, row: str, text_col: str = "text", size:
 
     held = rows.join(clusters.select(F.col("node").alias("row"), F.col("root").alias("cluster")), "row").select("row", "cluster", "text")
     held = staged(held.mapInArrow(sets, "row long, cluster long, n int, found binary"), "jaccard-sets")
+    discard(clusters)
     lanes = held.groupBy("cluster").agg(F.greatest(F.ceil(F.count("*") / LANE), F.ceil(F.sum("n") / LANE_SHINGLES)).cast("int").alias("lanes"))
     other = F.explode(F.sequence(F.lit(0), F.col("lanes") - 1)).alias("other")
-    dealt = held.join(lanes, "cluster").withColumn("lane", F.pmod(F.xxhash64("row"), F.col("lanes")).cast("int"))
+    dealt = joined_with_sums(held, lanes, ["cluster"]).withColumn("lane", F.pmod(F.xxhash64("row"), F.col("lanes")).cast("int"))
     dealt = dealt.select("cluster", F.col("lane"), "row", "found", other)
 
     def compared(t: pa.Table) -> pa.Table:

@@ -2,11 +2,13 @@ import hashlib
 import random
 from collections import Counter
 
+import public_tokenizers
 import pytest
+import tiktoken
+from tiktoken.load import load_tiktoken_bpe
 
 from tests.llm.conftest import LOWER, SCHEMA
-from tests.llm.test_dedup import component_rule
-from tests.llm.test_search_and_mix import count, mix_rule
+from tests.llm.test_search_and_mix import mix_rule
 
 pipeline = pytest.importorskip("corpus_pipeline")
 SF = "/root/testdata/sf0.001"
@@ -26,12 +28,24 @@ def check_exact(before, after):
     assert Counter((key(r), r[0]) for r in after) == Counter(best.items())
 
 
-def check_near(before, after):
+def least_of_groups(before):
+    """The least identifier (null last) of each group of rows joined by steps of five-word Jaccard similarity 0.8 or more."""
+    cut = [(t or "").encode().translate(LOWER).split() for _, t, *_ in before]
+    sets = [frozenset(b" ".join(w[k : k + 5]) for k in range(max(1, len(w) - 4))) for w in cut]
+    root = list(range(len(before)))
+    for a in range(len(before)):
+        for b in range(a):
+            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                root = [min(root[a], root[b]) if r in (root[a], root[b]) else r for r in root]
     groups = {}
-    for (i, f, c), n in Counter(component_rule(before)).items():
-        groups.setdefault(c if c != "None" else f, []).append(i)
-    assert len(after) == len(groups)
-    assert {str(r[0]) for r in after if r[0] is not None} <= {c for _, _, c in component_rule(before)}
+    for r, (i, *_) in zip(root, before):
+        groups.setdefault(r, []).append((i is None, i or 0))
+    return Counter(map(min, groups.values()))
+
+
+def check_near(before, after):
+    assert Counter((r[0] is None, r[0] or 0) for r in after) == least_of_groups(before)
+    assert not Counter(after) - Counter(before)
 
 
 def check_mix(before, after):
@@ -44,19 +58,34 @@ def check_mix(before, after):
     assert all(r in kinds for r in after)
 
 
+def check_tokens(before, got):
+    """Against the tiktoken library with the same ranks."""
+    library = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=load_tiktoken_bpe(public_tokenizers.path("byte_bpe_50k.tiktoken")), special_tokens={})
+    want = Counter((str(i), tuple(library.encode_ordinary(t or ""))) for i, t, *_ in before)
+    assert Counter((str(r["doc_id"]), tuple(r["ids"])) for r in got) == want
+    assert all(r["n_tokens"] == len(r["ids"]) for r in got)
+
+
+def check_toxicity(spark, before, after, labels):
+    """The rows that the classifier calls clean, each whole; few of those labelled clean go."""
+    assert not Counter(after) - Counter(before)
+    gone = {r[0] for r in before} - {r[0] for r in after}
+    assert sum(labels.get(i) == 0 for i in gone) <= 0.03 * max(1, sum(t == 0 for t in labels.values()))
+
+
 @pytest.mark.parametrize("source", ["corpus", "awkward"])
 def test_each_stage(spark, source, corpus, awkward):
+    """Every stage on the whole table, whatever rows it holds."""
     docs = corpus if source == "corpus" else awkward
-    if source == "corpus":
-        kept = STAGES["toxicity"](spark, docs, SF)
-        assert kept.columns == docs.columns
-        gone = {r[0] for r in rows_of(docs)} - {r[0] for r in rows_of(kept)}
-        labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
-        assert sum(labels.get(i) == 0 for i in gone) <= 0.03 * sum(t == 0 for t in labels.values())
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()} if source == "corpus" else {}
+    kept = STAGES["toxicity"](spark, docs, SF)
+    assert kept.columns == docs.columns
+    check_toxicity(spark, rows_of(docs), rows_of(kept), labels)
     for name, check in (("exact_dedup", check_exact), ("simhash_dedup", check_near), ("mixing", check_mix)):
         got = STAGES[name](spark, docs, SF)
         assert got.columns == docs.columns
         check(rows_of(docs), rows_of(got))
+    check_tokens(rows_of(docs), STAGES["byte_bpe"](spark, docs, SF).collect())
 
 
 def test_empty(spark, empty):
@@ -65,10 +94,35 @@ def test_empty(spark, empty):
 
 
 def test_run(spark, corpus):
+    """run() gives what the rules give one after another."""
+    assert [n for n, _ in pipeline.STAGES] == ["toxicity", "exact_dedup", "simhash_dedup", "mixing", "byte_bpe"]
+    docs = STAGES["toxicity"](spark, corpus, SF)
+    for name, check in (("exact_dedup", check_exact), ("simhash_dedup", check_near), ("mixing", check_mix)):
+        before, docs = docs, STAGES[name](spark, docs, SF)
+        check(rows_of(before), rows_of(docs))
     got = pipeline.run(spark, SF).collect()
+    assert got
+    check_tokens(rows_of(docs), got)
     texts = {r[0]: r[1] for r in rows_of(corpus)}
-    assert got and all(r["decoded_sha256"] == hashlib.sha256((texts[r["doc_id"]] or "").encode()).hexdigest() for r in got)
-    assert sum(count(texts[r["doc_id"]]) for r in got) > 0
+    assert all(r["decoded_sha256"] == hashlib.sha256((texts[r["doc_id"]] or "").encode()).hexdigest() for r in got)
+
+
+def test_numbers_do_not_move(spark, tmp_path):
+    """Rows are told apart by stored numbers, so that what is kept does not depend on how a scan is cut."""
+    rows = [(i // 2, f"text {i % 50} of the row", "en", "s", i) for i in range(4000)]
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.option("parquet.block.size", 4096).parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    found = []
+    for size in ("128m", "16k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            got = STAGES["exact_dedup"](spark, docs, SF)
+            spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")  # between planning and running
+            found.append(Counter(r[:2] for r in rows_of(got)))
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found[0] == found[1] and len(found[0]) == 50
+    check_exact(rows_of(docs), rows_of(STAGES["exact_dedup"](spark, docs, SF)))
 
 
 def test_similar_texts_leave_one(spark):
@@ -90,9 +144,7 @@ def test_similar_texts_leave_one(spark):
             if alike(sets[a], sets[b]):
                 root = [min(root[a], root[b]) if r in (root[a], root[b]) else r for r in root]
     docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], SCHEMA).repartition(3)
-    got = docs
-    for name in ("simhash_dedup", "jaccard_dedup"):
-        got = STAGES[name](spark, got, SF)
+    got = STAGES["simhash_dedup"](spark, docs, SF)
     assert sorted(r[0] for r in rows_of(got)) == sorted(set(root)) and len(set(root)) == 60
 
 
@@ -103,17 +155,6 @@ def test_similar_on_the_corpus_and_lanes(spark, corpus, awkward, monkeypatch):
     for lane in (1024, 3):
         monkeypatch.setattr(jaccard, "LANE", lane)
         for docs in (corpus, awkward):
-            before = rows_of(docs)
-            cut = [(t or "").encode().translate(LOWER).split() for _, t, *_ in before]
-            sets = [frozenset(b" ".join(w[k : k + 5]) for k in range(max(1, len(w) - 4))) for w in cut]
-            root = list(range(len(before)))
-            for a in range(len(before)):
-                for b in range(a):
-                    if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
-                        root = [min(root[a], root[b]) if r in (root[a], root[b]) else r for r in root]
-            groups = {}
-            for r, (i, *_) in zip(root, before):
-                groups.setdefault(r, []).append((i is None, i or 0))
-            after = STAGES["jaccard_dedup"](spark, docs, SF)
+            after = STAGES["simhash_dedup"](spark, docs, SF)
             assert after.columns == docs.columns
-            assert Counter((r[0] is None, r[0] or 0) for r in rows_of(after)) == Counter(map(min, groups.values()))
+            check_near(rows_of(docs), rows_of(after))
