@@ -4,19 +4,22 @@ Conversations must follow a legal-turn automaton: one system message at most, at
 message may keep its role, be relabelled, be merged into the message before it, or follow empty messages that are put in; a
 dynamic program over the automaton's states finds the cheapest repair. What a stretch of turns costs from each state to each
 state is a small matrix, and matrices of neighbouring stretches combine by minimum and sum, so that long conversations are
-split into segments: their matrices choose the states at the borders, and each segment is then repaired alone.
+split into segments of equally many turns, whatever their turn numbers: the matrices choose the states at the borders, first
+between stretches of segments, then within each stretch, and each segment is repaired alone.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import groupby
+from functools import reduce
+from itertools import groupby, islice
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from platelake.llm.shared import n_partitions, staged
+from platelake.llm.shared import discard, n_partitions, staged
 
 #: States: nothing said yet, or the role that spoke last.
 START, SYSTEM, USER, ASSISTANT = range(4)
@@ -28,8 +31,8 @@ ALIASES = {"human": "user", "prompter": "user", "gpt": "assistant", "bot": "assi
 LEGAL = {START: (SYSTEM, USER), SYSTEM: (USER,), USER: (ASSISTANT,), ASSISTANT: (USER,)}
 #: Costs of a merge, a new label and an empty message.
 MERGE, RELABEL, INSERT = 1, 2, 3
-#: Turn numbers in a segment.
-SEGMENT = 256
+#: Turns in a segment, and segments in a stretch.
+SEGMENT, STRETCH = 256, 256
 _FAR = 1 << 40
 
 
@@ -82,9 +85,14 @@ def segment_matrix(roles: list[int]) -> list[int]:
     return found
 
 
-def borders(matrices: list[list[int]], ends: tuple[int, ...] = (USER, ASSISTANT)) -> list[int]:
-    """The states at the borders of consecutive segments, first START, of the cheapest repair."""
-    costs, backs = [0, _FAR, _FAR, _FAR], []
+def combined(a: list[int], b: list[int]) -> list[int]:
+    """The matrix of two neighbouring stretches."""
+    return [min(min(a[4 * s + m] + b[4 * m + t] for m in range(4)), _FAR) for s in range(4) for t in range(4)]
+
+
+def borders(matrices: list[list[int]], ends: tuple[int, ...] = (USER, ASSISTANT), entry: int = START) -> list[int]:
+    """The states at the borders of consecutive segments, first entry, of the cheapest repair that ends in one of ends."""
+    costs, backs = [0 if s == entry else _FAR for s in range(4)], []
     for m in matrices:
         ways = [min((costs[a] + m[4 * a + b], a) for a in range(4)) for b in range(4)]
         costs = [c for c, _ in ways]
@@ -122,87 +130,141 @@ def _safe(text: str | None) -> str:
     return (text or "").replace("<|im_", "<| im_")
 
 
-def format_chats(turns: DataFrame, ends: tuple[int, ...] = (USER, ASSISTANT), segment: int = SEGMENT, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
+def _grouped(parts: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[tuple, Iterator[tuple]]]:
+    """Rows of sorted batches by their first n columns."""
+    rows = (x for b in parts for x in zip(*(c.to_pylist() for c in b.columns)))
+    return groupby(rows, key=lambda x: x[:n])
+
+
+def _batches(rows: Iterator[tuple], names: list[str], kinds: list[pa.DataType], size: int = 1000) -> Iterator[pa.RecordBatch]:
+    while held := list(islice(rows, size)):
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), kinds)], names=names)
+
+
+_LONG, _TEXT, _MATRIX = pa.int64(), pa.string(), pa.list_(pa.int64())
+
+
+def _numbered(turns: DataFrame, segment: int, cols: tuple[str, str, str, str]) -> DataFrame:
+    """Stored turns in order with part, the segment of a turn within its conversation, and position, its place in the segment.
+
+    The order is by conversation, turn, role, the text's first characters and a hash, so a range of it holds about as many
+    turns whatever the conversations are. Only the first and last conversation of a range can go beyond it: those few rows say
+    how many turns of a conversation stand in earlier ranges."""
+    conv, turn, role, text = cols
+    rows = turns.select(F.col(conv).cast("long").alias("conv_id"), F.col(turn).cast("long").alias("turn"), F.col(role).cast("string").alias("role"), F.col(text).cast("string").alias("text"))
+    rows = rows.withColumns({"head": F.substring("text", 1, 32), "hash": F.xxhash64("text"), "nth": F.monotonically_increasing_id()})
+    order: list[Column | str] = ["conv_id", F.col("turn").asc_nulls_last(), "role", "head", "hash", "nth"]
+    ordered = rows.repartitionByRange(n_partitions(turns.sparkSession), *order).sortWithinPartitions(*order)
+
+    def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pid, own, at, last = TaskContext.get().partitionId(), -1, 0, ()
+        for b in parts:
+            owns, ats = [], []
+            for c in b.column(0).to_pylist():
+                own, at = (own, at + 1) if (c,) == last else (own + 1, 0)
+                last = (c,)
+                owns.append(own)
+                ats.append(at)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([pid] * len(owns), _LONG), pa.array(owns, _LONG), pa.array(ats, _LONG)], names=[*b.schema.names, "pid", "own", "at"])
+
+    held = staged(ordered.select("conv_id", "turn", "role", "text").mapInArrow(count, "conv_id long, turn long, role string, text string, pid long, own long, at long"), "chat-turns")
+    counts = held.groupBy("pid", "own").agg(F.max("conv_id").alias("conv_id"), F.count("*").alias("n"))
+    lasts = counts.groupBy("pid").agg(F.max("own").alias("last"))
+    edges = counts.join(lasts, "pid").filter("own = 0 OR own = last")  # two rows a partition at most
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("conv_id").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    edges = edges.select("pid", "own", before.alias("before")).filter("before > 0")
+    nth = F.col("at") + F.coalesce("before", F.lit(0))
+    met = held.join(F.broadcast(edges), ["pid", "own"], "left")
+    return met.select("conv_id", F.floor(nth / segment).cast("long").alias("part"), (nth % segment).cast("long").alias("position"), "turn", "role", "text")
+
+
+def format_chats(turns: DataFrame, ends: tuple[int, ...] = (USER, ASSISTANT), segment: int = SEGMENT, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", stretch: int = STRETCH) -> DataFrame:
     """One row per turn: conv_id, turn, part, position, role, new_role, action, inserted, cost, rendered.
 
-    The turns of a conversation are taken by turn (null last), ties by role and text; their rendered pieces in the order of part
-    and position are the whole formatted conversation. action is keep, relabel, merge or relabel+merge; inserted names the empty
-    messages put before the turn; a null or unknown role costs a relabel. Null texts count as empty; rows whose conversation is
-    null form one conversation; repeated rows are turns of their own. An empty input gives an empty result.
+    The turns of a conversation are taken by turn (null last), ties by role and then the text's first characters and a hash; their
+    rendered pieces in the order of part and position are the whole formatted conversation (conversations() puts them together).
+    part counts segments of turns. action is keep, relabel, merge or relabel+merge; inserted names the empty messages put before
+    the turn; a null or unknown role costs a relabel. Null texts count as empty, texts of any length are rendered whole; rows
+    whose conversation is null form one conversation; repeated rows are turns of their own; conversations of many turns, of one
+    turn number or without any are segments like others; columns besides the four are not read. An empty input gives an empty
+    result.
     """
-    part = F.coalesce(F.floor(F.col("turn") / segment), F.lit((1 << 62))).cast("long")
-    rows = turns.select(F.col(conv_col).cast("long").alias("conv_id"), F.col(turn_col).cast("long").alias("turn"), F.col(role_col).cast("string").alias("role"), F.col(text_col).cast("string").alias("text")).withColumn("part", part)
     n = n_partitions(turns.sparkSession)
-    order = ["conv_id", "part", F.col("turn").asc_nulls_last(), F.col("role").asc_nulls_first(), F.col("text").asc_nulls_first()]
+    rows = _numbered(turns, segment, (conv_col, turn_col, role_col, text_col))
 
     def matrices(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[tuple[int, ...], list[int]] = {}
 
-        def found(cells) -> list[int]:
-            roles = tuple(role_of(r) for *_, r in cells)
-            if len(known) > 10_000:
-                known.clear()
-            return known.get(roles) or known.setdefault(roles, segment_matrix(list(roles)))
-
-        rows = (x for b in parts for x in zip(*(c.to_pylist() for c in b.columns)))
-        out: list[tuple] = []
-        for (conv, part), cells in groupby(rows, key=lambda x: x[:2]):
-            out.append((conv, part, found(cells)))
-            if len(out) == 2000:
-                yield _batch(out)
-                out = []
-        if out:
-            yield _batch(out)
-
-    def _batch(out: list[tuple]) -> pa.RecordBatch:
-        c, p, m = zip(*out)
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()), pa.array(p, pa.int64()), pa.array(m, pa.list_(pa.int64()))], names=["conv_id", "part", "m"])
-
-    def states(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (x for b in parts for x in zip(*(c.to_pylist() for c in b.columns)))
-        out: list[tuple] = []
-        for conv, cells in groupby(rows, key=lambda x: x[0]):
-            own = list(cells)
-            at = borders([m for *_, m in own], ends)
-            out += [(conv, part, at[k], at[k + 1], k == len(own) - 1) for k, (_, part, _) in enumerate(own)]
-            if len(out) >= 2000:
-                yield told(out)
-                out = []
-        if out:
-            yield told(out)
-
-    def told(out: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_()))], names=["conv_id", "part", "entry", "exit", "final"])
+        def found() -> Iterator[tuple]:
+            for (conv, part), cells in _grouped(parts, 2):
+                roles = tuple(role_of(x[-1]) for x in cells)
+                if len(known) > 10_000:
+                    known.clear()
+                yield conv, part, part // stretch, known.get(roles) or known.setdefault(roles, segment_matrix(list(roles)))
+
+        return _batches(found(), ["conv_id", "part", "stretch", "m"], [_LONG, _LONG, _LONG, _MATRIX])
+
+    def products(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _batches(((*key, reduce(combined, (x[-1] for x in cells))) for key, cells in _grouped(parts, 2)), ["conv_id", "stretch", "m"], [_LONG, _LONG, _MATRIX])
+
+    def outer(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found() -> Iterator[tuple]:
+            for (conv,), cells in _grouped(parts, 1):
+                own = list(cells)
+                at = borders([x[-1] for x in own], ends)
+                yield from ((conv, x[1], at[k], at[k + 1], k == len(own) - 1) for k, x in enumerate(own))
+
+        return _batches(found(), ["conv_id", "stretch", "entry", "exit", "final"], [_LONG, _LONG, pa.int32(), pa.int32(), pa.bool_()])
+
+    def inner(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found() -> Iterator[tuple]:
+            for (conv, _), cells in _grouped(parts, 2):
+                own = list(cells)
+                entry, end, final = own[0][4:]
+                at = borders([x[3] for x in own], (end,), entry)
+                yield from ((conv, x[2], at[k], at[k + 1], final and k == len(own) - 1) for k, x in enumerate(own))
+
+        return _batches(found(), ["conv_id", "part", "entry", "exit", "final"], [_LONG, _LONG, pa.int32(), pa.int32(), pa.bool_()])
 
     def render(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (x for b in parts for x in zip(*(c.to_pylist() for c in b.columns)))
-        out: list[tuple] = []
-        for (conv, part), cells in groupby(rows, key=lambda x: x[:2]):
-            own = list(cells)
-            entry, end, final = own[0][5:8]
-            way = repair([role_of(x[3]) for x in own], entry, end)
-            open_ = entry != START
-            for k, (x, (role, merged, put, cost)) in enumerate(zip(own, way)):
-                relabelled = role_of(x[3]) != role
-                action = "relabel+merge" if relabelled and merged else "merge" if merged else "relabel" if relabelled else "keep"
-                before = "".join(_opening(p) + _CLOSING for p in put)
-                piece = "\n" + _safe(x[4]) if merged else _CLOSING * open_ + before + _opening(role) + _safe(x[4])
-                if final and k == len(own) - 1:
-                    piece += _CLOSING
-                open_ = True
-                out.append((conv, x[2], part, k, x[3], NAMES[role], action, ",".join(NAMES[p] for p in put), cost, piece))
-                if len(out) >= 1000:
-                    yield whole(out)
-                    out = []
-        if out:
-            yield whole(out)
-
-    def whole(out: list[tuple]) -> pa.RecordBatch:
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string())
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=["conv_id", "turn", "part", "position", "role", "new_role", "action", "inserted", "cost", "rendered"])
-
-    costs = rows.repartition(n, "conv_id", "part").sortWithinPartitions(*order).select("conv_id", "part", "role").mapInArrow(matrices, "conv_id long, part long, m array<long>")
-    chosen = staged(costs.repartition(n, "conv_id").sortWithinPartitions("conv_id", "part").mapInArrow(states, "conv_id long, part long, entry int, exit int, final boolean"), "chat-states")
-    met = rows.alias("r").join(chosen.alias("c"), F.col("r.conv_id").eqNullSafe(F.col("c.conv_id")) & (F.col("r.part") == F.col("c.part"))).select("r.conv_id", "r.part", "turn", "role", "text", "entry", "exit", "final")
-    sorted_ = met.repartition(n, "conv_id", "part").sortWithinPartitions(*order)
-    return sorted_.mapInArrow(render, "conv_id long, turn long, part long, position long, role string, new_role string, action string, inserted string, cost long, rendered string")
+        def found() -> Iterator[tuple]:
+            for (conv, part), cells in _grouped(parts, 2):
+                own = list(cells)
+                entry, end, final = own[0][6:]
+                way = repair([role_of(x[4]) for x in own], entry, end)
+                open_ = entry != START
+                for k, (x, (role, merged, put, cost)) in enumerate(zip(own, way)):
+                    relabelled = role_of(x[4]) != role
+                    action = "relabel+merge" if relabelled and merged else "merge" if merged else "relabel" if relabelled else "keep"
+                    before = "".join(_opening(p) + _CLOSING for p in put)
+                    piece = "\n" + _safe(x[5]) if merged else _CLOSING * open_ + before + _opening(role) + _safe(x[5])
+                    if final and k == len(own) - 1:
+                        piece += _CLOSING
+                    open_ = True
+                    yield conv, x[3], part, x[2], x[4], NAMES[role], action, ",".join(NAMES[p] for p in put), cost, piece
+
+        return _batches(found(), ["conv_id", "turn", "part", "position", "role", "new_role", "action", "inserted", "cost", "rendered"], [_LONG, _LONG, _LONG, _LONG, _TEXT, _TEXT, _TEXT, _TEXT, _LONG, _TEXT])
+
+    def dealt(df: DataFrame, f, schema: str, *keys: str, then: tuple[str, ...] = ()) -> DataFrame:
+        return df.repartition(n, *keys).sortWithinPartitions(*keys, *then).mapInArrow(f, schema)
+
+    segments = staged(dealt(rows.select("conv_id", "part", "position", "role"), matrices, "conv_id long, part long, stretch long, m array<long>", "conv_id", "part", then=("position",)), "chat-segments")
+    stretches = dealt(segments.select("conv_id", "stretch", "part", "m"), products, "conv_id long, stretch long, m array<long>", "conv_id", "stretch", then=("part",))
+    chosen = dealt(stretches, outer, "conv_id long, stretch long, entry int, exit int, final boolean", "conv_id", then=("stretch",))
+    met = segments.alias("s").join(chosen.alias("c"), F.col("s.conv_id").eqNullSafe(F.col("c.conv_id")) & (F.col("s.stretch") == F.col("c.stretch")))
+    met = met.select("s.conv_id", "s.stretch", "part", "m", "entry", "exit", "final")
+    states = staged(dealt(met, inner, "conv_id long, part long, entry int, exit int, final boolean", "conv_id", "stretch", then=("part",)), "chat-states")
+    discard(segments)
+    told = rows.alias("r").join(states.alias("t"), F.col("r.conv_id").eqNullSafe(F.col("t.conv_id")) & (F.col("r.part") == F.col("t.part")))
+    told = told.select("r.conv_id", "r.part", "position", "turn", "role", "text", "entry", "exit", "final")
+    schema = "conv_id long, turn long, part long, position long, role string, new_role string, action string, inserted string, cost long, rendered string"
+    return dealt(told, render, schema, "conv_id", "part", then=("position",))
+
+
+def conversations(formatted: DataFrame, parts: int = 64) -> DataFrame:
+    """conv_id, piece, n_turns, cost and rendered: the result of format_chats put together, a row a conversation.
+
+    A conversation of more than parts segments goes on in further rows, numbered by piece, so that no row grows without bound."""
+    pieces = F.transform(F.sort_array(F.collect_list(F.struct("part", "position", "rendered"))), lambda x: x["rendered"])
+    whole = formatted.groupBy("conv_id", F.floor(F.col("part") / parts).alias("piece"))
+    return whole.agg(F.count("*").alias("n_turns"), F.sum("cost").alias("cost"), F.array_join(pieces, "").alias("rendered"))

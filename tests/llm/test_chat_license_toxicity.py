@@ -82,6 +82,43 @@ def test_conversations(spark):
     assert legal("".join(r["rendered"] for r in sorted(convs[1], key=lambda r: r["position"]))) == [("user", "a\nb"), ("assistant", "c")]
 
 
+def whole(got):
+    convs = defaultdict(list)
+    for r in got:
+        convs[r["conv_id"]].append(r)
+    return {c: sorted(own, key=lambda r: (r["part"], r["position"])) for c, own in convs.items()}
+
+
+def test_hot_conversations(spark):
+    """Conversations of one turn number, or without identifiers, are cut by their turns; the repair costs the least all the same."""
+    rng = random.Random(3)
+    role = lambda: rng.choice(["user", "assistant", "system", None])
+    rows = [(None, 7, role(), f"n{k % 5}") for k in range(1500)] + [(1, k, role(), "") for k in range(700)] + [(2 + k // 3, k, "user", "z" * 200_000 if k == 0 else "t") for k in range(30)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    spark.conf.set("spark.sql.shuffle.partitions", "9")
+    try:
+        got = cf.format_chats(df, segment=16, stretch=4).collect()
+        again = cf.format_chats(df.repartition(2), segment=16, stretch=4).collect()
+        table = {(r["conv_id"], r["piece"]): r for r in cf.conversations(cf.format_chats(df, segment=16, stretch=4), parts=8).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert sorted(map(str, got)) == sorted(map(str, again))
+    convs = whole(got)
+    assert {c: len(own) for c, own in convs.items()} == {None: 1500, 1: 700, **{2 + k: 3 for k in range(10)}}
+    for c, own in convs.items():
+        assert [(r["part"], r["position"]) for r in own] == [(k // 16, k % 16) for k in range(len(own))]
+        roles = [cf.role_of(r["role"]) for r in own]
+        way = cf.repair(roles, *cf.borders([cf.segment_matrix(roles)]))
+        assert sum(r["cost"] for r in own) == sum(w[-1] for w in way)
+        text = "".join(r["rendered"] for r in own)
+        legal(text)
+        pieces = sorted(k for k in table if k[0] == c) if c is not None else sorted((k for k in table if k[0] is None), key=lambda k: k[1])
+        assert "".join(table[k]["rendered"] for k in pieces) == text and sum(table[k]["n_turns"] for k in pieces) == len(own)
+        assert sum(table[k]["cost"] for k in pieces) == sum(r["cost"] for r in own)
+    assert len(table) == 12 + 6 + 10
+    assert len(convs[2][0]["rendered"]) > 200_000
+
+
 def test_no_conversations(spark):
     assert cf.format_chats(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).collect() == []
 
