@@ -36,7 +36,7 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet into the shared folder and read it again: lineage ends there and lost executors take nothing with them."""
     path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression="zstd")
     return _held(df.sparkSession.read.schema(df.schema).parquet(path), path)
 
 
