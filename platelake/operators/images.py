@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from platelake.sources.images import decode, illumination_of
+from platelake.sources.images import decode, encode_tiff, illumination_of
 
 
 def ring_numbers(height: int, width: int) -> np.ndarray:
@@ -62,6 +62,15 @@ def percent_maximal_column(pixels: Column) -> Column:
     return F.coalesce(F.try_divide(F.size(F.filter(pixels, lambda x: x == top)) * F.lit(100.0), F.size(pixels)), F.lit(0.0))
 
 
+def pixel_statistics(pixels: Column) -> Column:
+    """mean, spread (the median distance from the mean) and extent (greatest less least) of an array column, as a struct."""
+    n = F.size(pixels)
+    mean = F.try_divide(F.aggregate(pixels, F.lit(0.0), lambda a, x: a + x.cast("double")), n)
+    gaps = F.array_sort(F.transform(pixels, lambda x: F.abs(x - mean)))
+    middle = (F.try_element_at(gaps, F.floor((n + 1) / 2).cast("int")) + F.try_element_at(gaps, F.floor(n / 2).cast("int") + 1)) / 2
+    return F.struct(mean.alias("mean"), middle.alias("spread"), (F.array_max(pixels) - F.array_min(pixels)).alias("extent"))
+
+
 def unpivot_channels(sites: DataFrame, key: str, prefix: str = "FileName_") -> DataFrame:
     """key, channel and file of every site and channel."""
     channels = [c for c in sites.columns if c.startswith(prefix)]
@@ -78,6 +87,8 @@ def image_quality(images: DataFrame, key: str, illumination: dict[str, np.ndarra
             rows = []
             for k, channel, content in zip(pdf[key], pdf["channel"], pdf["content"]):
                 try:
+                    if content is None:
+                        raise FileNotFoundError("File Not Found")
                     x = decode(content)
                     light = illumination_of(arrays, channel)
                     if light is not None and light.shape == x.shape:
@@ -92,10 +103,14 @@ def image_quality(images: DataFrame, key: str, illumination: dict[str, np.ndarra
 
 
 def quality_columns(sites: DataFrame, quality: DataFrame, key: str, channels: list[str]) -> DataFrame:
-    """sites with the slope, percentage and error of each channel in columns of their own."""
+    """sites with the slope, percentage and error of each channel in columns of their own. Two results for a site and channel are an error."""
     names = {"slope": "ImageQuality_PowerLogLogSlope_", "percent": "ImageQuality_PercentMaximal_", "error": "QC_Error_"}
-    cells = [F.max(F.when(F.col("channel") == c, F.col(v))).alias(n + c) for c in channels for v, n in names.items()]
-    return sites.join(quality.groupBy(key).agg(*cells), key, "left")
+
+    def one(channel: str, value: str) -> Column:
+        of = F.col("channel") == channel
+        return F.when(F.count_if(of) > 1, F.raise_error(F.lit(f"a site has two images of channel {channel}"))).otherwise(F.max(F.when(of, F.col(value))))
+
+    return sites.join(quality.groupBy(key).agg(*(one(c, v).alias(n + c) for c in channels for v, n in names.items())), key, "left")
 
 
 def plane_groups(planes: DataFrame, channels: int, n_planes: int, order: list, plate: str = "PlateID") -> DataFrame:
@@ -117,6 +132,32 @@ def max_projection(stacks: DataFrame, keys: list[str], pixels: str = "pixels") -
     return top.groupBy(*keys).agg(same.alias(pixels))
 
 
+def project_images(planes: DataFrame, keys: list[str], path: str = "path", order: str = "plane", content: str = "content") -> DataFrame:
+    """keys, path (of the first plane), content and error: the greatest value of each pixel over the image files of a group, as TIFF.
+
+    A group is the planes of one stack, so it is as small as a stack is deep. Images of different shape, or one that is missing
+    or broken, are reported and give no content."""
+
+    def one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(order)
+        made, error = None, None
+        try:
+            for data in pdf[content]:
+                if data is None:
+                    raise FileNotFoundError("File Not Found")
+                x = decode(data)
+                if made is not None and (x.shape != made.shape):
+                    raise ValueError("images of different shape")
+                made = x if made is None else np.maximum(made, x)
+            made = encode_tiff(made)
+        except Exception as e:
+            made, error = None, f"{type(e).__name__}: {e}"
+        return pd.DataFrame([[*key, pdf[path].iloc[0], made, error]], columns=[*keys, path, "content", "error"])
+
+    kinds = dict(planes.dtypes)
+    return planes.groupBy(*keys).applyInPandas(one, ", ".join(f"`{k}` {kinds[k]}" for k in keys) + f", `{path}` string, content binary, error string")
+
+
 def _lanczos_weights(old: int, new: int, lobes: int = 3) -> np.ndarray:
     """Resampling matrix (new x old) of the windowed sinc, widened when shrinking."""
     scale = old / new
@@ -129,6 +170,8 @@ def _lanczos_weights(old: int, new: int, lobes: int = 3) -> np.ndarray:
 
 def resize(image: np.ndarray, resolution: int = 1080) -> np.ndarray:
     """The image resampled to resolution x resolution, rounded and clipped to its type."""
+    if image.ndim == 3:  # colours are resampled one by one
+        return np.stack([resize(image[..., k], resolution) for k in range(image.shape[2])], axis=-1)
     out = _lanczos_weights(image.shape[0], resolution) @ image.astype(float) @ _lanczos_weights(image.shape[1], resolution).T
     if image.dtype.kind in "ui":
         info = np.iinfo(image.dtype)

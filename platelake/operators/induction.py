@@ -66,26 +66,35 @@ def venn_per_time(flags: DataFrame) -> DataFrame:
     return met.select(TIME, (F.col("n_all") - F.col("both")).alias("only_all"), F.lit(0).cast("long").alias("only_time"), "both", percent(F.col("both"), F.col("n_all")).alias("percent"))
 
 
+def _with_range(df: DataFrame, keys: list[str], value: str, *more: Column) -> DataFrame:
+    """Rows that hold value, with _lo and _hi, the least and greatest value of their own group, and more of its aggregates."""
+    rows = df.filter(F.col(value).isNotNull())
+    range_ = rows.groupBy(*(F.col(k).alias(f"_{k}") for k in keys)).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"), *more)
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys))
+    return rows.join(range_, same).drop(*(f"_{k}" for k in keys))
+
+
 def histogram(df: DataFrame, keys: list[str], value: str = "induction", bins: int = 100) -> DataFrame:
-    """keys, bin, low, high, n: counts in equal bins between the least and the greatest value of all rows; the last bin is closed."""
-    range_ = df.agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
-    met = df.filter(F.col(value).isNotNull()).join(F.broadcast(range_))  # one row
-    width = (F.col("hi") - F.col("lo")) / bins
-    k = F.coalesce(F.least(F.lit(bins - 1), F.floor(F.try_divide(F.col(value) - F.col("lo"), width))), F.lit(0)).cast("long")
-    grouped = met.withColumn("bin", k).groupBy(*keys, "bin").agg(F.count("*").alias("n"), F.first(F.col("lo")).alias("lo"), F.first(width).alias("w"))
-    return grouped.select(*keys, "bin", (F.col("lo") + F.col("bin") * F.col("w")).alias("low"), (F.col("lo") + (F.col("bin") + 1) * F.col("w")).alias("high"), "n")
+    """keys, bin, low, high, n: counts in equal bins between the least and the greatest value of each group; the last bin is closed.
+
+    A group of one value has bins around it, of a width of 1 in all. Bins without rows are left out."""
+    half = F.when(F.col("_hi") == F.col("_lo"), 0.5).otherwise(0.0)
+    met = _with_range(df, keys, value).withColumns({"_w": (F.col("_hi") - F.col("_lo") + 2 * half) / bins, "_lo": F.col("_lo") - half})
+    k = F.least(F.lit(bins - 1), F.floor((F.col(value) - F.col("_lo")) / F.col("_w"))).cast("long")
+    grouped = met.groupBy(*keys, k.alias("bin")).agg(F.count("*").alias("n"), F.min("_lo").alias("_lo"), F.min("_w").alias("_w"))
+    return grouped.select(*keys, "bin", (F.col("_lo") + F.col("bin") * F.col("_w")).alias("low"), (F.col("_lo") + (F.col("bin") + 1) * F.col("_w")).alias("high"), "n")
 
 
-def density(df: DataFrame, keys: list[str], value: str = "induction", points: int = 100) -> DataFrame:
-    """keys, x, density: a Gaussian kernel estimate by Scott's rule on an even grid over each group's range, three bandwidths wider.
+def density(df: DataFrame, keys: list[str], value: str = "induction", points: int = 200, cut: float = 0.0) -> DataFrame:
+    """keys, x, density: a Gaussian kernel estimate by Scott's rule on an even grid over each group's range, cut bandwidths wider.
 
-    It reads the distinct values of a group with their counts (an induction score has one more value than features), so that it
-    is a sum over grid x values in SQL."""
+    The curve over a histogram ends where the data do, so cut is 0. It reads the distinct values of a group with their counts (an
+    induction score has one more value than features), so that it is a sum over grid x values in SQL. Groups of one value have none."""
     rows = df.filter(F.col(value).isNotNull())
     stats = rows.groupBy(*keys).agg(F.count("*").alias("_n"), F.stddev_samp(value).alias("_s"), F.min(value).alias("_lo"), F.max(value).alias("_hi")).filter("_s > 0")
     stats = stats.withColumn("_h", F.col("_s") * F.pow(F.col("_n").cast("double"), F.lit(-0.2)))
-    step = (F.col("_hi") - F.col("_lo") + 6 * F.col("_h")) / (points - 1)
-    grid = stats.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(points - 1)))).withColumn("x", F.col("_lo") - 3 * F.col("_h") + F.col("_k") * step)
+    step = (F.col("_hi") - F.col("_lo") + 2 * cut * F.col("_h")) / (points - 1)
+    grid = stats.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(points - 1)))).withColumn("x", F.col("_lo") - cut * F.col("_h") + F.col("_k") * step)
     values = rows.groupBy(*keys, F.col(value).alias("_v")).agg(F.count("*").alias("_c"))
     z = (F.col("x") - F.col("_v")) / F.col("_h")
     share = F.col("_c") * F.exp(-0.5 * z * z) / (F.col("_n") * F.col("_h") * (2 * 3.141592653589793) ** 0.5)

@@ -6,18 +6,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from platelake.operators.profiles import Profiles
 
 
 def value_frequencies(profiles: Profiles) -> DataFrame:
-    """pos, n_values, first and second: how often the two commonest values occur."""
+    """pos, n_values, first and second: how often the two commonest values occur. Values are counted and compared by partial aggregates."""
     counts = profiles.long().filter("x IS NOT NULL").groupBy("pos", "x").agg(F.count("*").alias("n"))
-    place = F.row_number().over(Window.partitionBy("pos").orderBy(F.desc("n"), "x"))
-    ranked = counts.withColumn("place", place)
-    return ranked.groupBy("pos").agg(F.count("*").alias("n_values"), F.max(F.when(F.col("place") == 1, F.col("n"))).alias("first"), F.max(F.when(F.col("place") == 2, F.col("n"))).alias("second"))
+    top = counts.groupBy("pos").agg(F.count("*").alias("n_values"), F.max(F.struct("n", "x")).alias("top"))
+    rest = counts.join(top.select("pos", "top"), "pos").filter(F.col("x") != F.col("top.x")).groupBy("pos").agg(F.max("n").alias("second"))
+    return top.join(rest, "pos", "left").select("pos", "n_values", F.col("top.n").alias("first"), "second")
 
 
 def variance_threshold(profiles: Profiles, freq_cut: float = 0.05, unique_cut: float = 0.01) -> list[str]:
@@ -49,13 +49,13 @@ def drop_outliers(profiles: Profiles, cutoff: float = 500.0) -> list[str]:
     return [n for k, n in enumerate(profiles.names) if k not in gone]
 
 
-def correlation_matrix(profiles: Profiles) -> np.ndarray:
-    """Pearson correlations of all pairs of features over the rows that hold both.
+def correlation_rows(profiles: Profiles, lanes: int = 32) -> DataFrame:
+    """i and r: for each feature the Pearson correlations with all features, over the rows that hold both; NaN where one is constant.
 
-    Partitions send their sums of products, a row for each feature, which add up by feature; only the matrix reaches the driver.
-    """
+    Partitions send their sums of products, a packed row for each feature, which are added in lanes and then by feature; neither
+    products nor correlations become rows or reach the driver."""
     n = len(profiles.names)
-    means = {r["pos"]: r["m"] for r in profiles.long().groupBy("pos").agg(F.avg("x").alias("m")).collect()}
+    means = {r["pos"]: r["m"] for r in profiles.long().groupBy("pos").agg(F.avg("x").alias("m")).collect()}  # a number a feature
     center = np.array([means.get(k) or 0.0 for k in range(n)])
 
     def sums(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -64,29 +64,64 @@ def correlation_matrix(profiles: Profiles) -> np.ndarray:
             x = np.array([np.asarray(row, float) for row in pdf["features"]]).reshape(-1, n) - center  # a null is NaN here
             ok = ~np.isnan(x)
             z, m = np.where(ok, x, 0), ok.astype(float)
-            total += np.stack([m.T @ m, z.T @ m, m.T @ z, (z * z).T @ m, m.T @ (z * z), z.T @ z])
-        yield pd.DataFrame({"i": range(n), "sums": [total[:, i].ravel() for i in range(n)]})
+            for k, (a, b) in enumerate(((m, m), (z, m), (m, z), (z * z, m), (m, z * z), (z, z))):
+                total[k] += a.T @ b
+        for a in range(0, n, 64):
+            rows = range(a, min(n, a + 64))
+            yield pd.DataFrame({"i": rows, "sums": [total[:, i].tobytes() for i in rows]})
+
+    def added(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        total = np.zeros(6 * n)
+        for x in pdf["sums"]:
+            total += np.frombuffer(x)
+        return pd.DataFrame({"i": [key[0]], "sums": [total.tobytes()]})
+
+    def correlated(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            rows = []
+            for x in pdf["sums"]:
+                c, sx, sy, sxx, syy, sxy = np.frombuffer(x).reshape(6, n)
+                with np.errstate(all="ignore"):
+                    cov, vx, vy = sxy - sx * sy / c, sxx - sx * sx / c, syy - sy * sy / c
+                    rows.append(np.where((vx > 1e-12 * np.maximum(sxx, 1e-300)) & (vy > 1e-12 * np.maximum(syy, 1e-300)), cov / np.sqrt(vx * vy), np.nan))
+            yield pd.DataFrame({"i": pdf["i"], "r": rows})
+
+    partial = profiles.df.select("features").mapInPandas(sums, "i int, sums binary").withColumn("lane", F.pmod(F.spark_partition_id(), F.lit(lanes)))
+    once = partial.groupBy("i", "lane").applyInPandas(added, "i int, sums binary")
+    return once.groupBy("i").applyInPandas(added, "i int, sums binary").mapInPandas(correlated, "i int, r array<double>")
+
 
-    partial = profiles.df.select("features").mapInPandas(sums, "i int, sums array<double>")
-    added = partial.select("i", F.posexplode("sums").alias("k", "v")).groupBy("i", "k").agg(F.sum("v").alias("v"))
-    t = np.zeros((n, 6 * n))
-    for r in added.toLocalIterator():
-        t[r["i"], r["k"]] = r["v"]
-    c, sx, sy, sxx, syy, sxy = (t[:, k * n : (k + 1) * n] for k in range(6))
-    with np.errstate(all="ignore"):
-        cov, vx, vy = sxy - sx * sy / c, sxx - sx * sx / c, syy - sy * sy / c
-        return np.where((vx > 1e-12 * np.maximum(sxx, 1e-300)) & (vy > 1e-12 * np.maximum(syy, 1e-300)), cov / np.sqrt(vx * vy), np.nan)
+def correlation_matrix(profiles: Profiles) -> np.ndarray:
+    """The correlations of all pairs of features as one matrix, for a caller who wants it whole."""
+    r = np.full((len(profiles.names),) * 2, np.nan)
+    for row in correlation_rows(profiles).toLocalIterator():
+        r[row["i"]] = [np.nan if x is None else x for x in row["r"]]
+    return r
 
 
 def correlation_threshold(profiles: Profiles, threshold: float = 0.9) -> list[str]:
-    """Of each pair that correlates above threshold (signed), the feature that correlates more with all others goes; ties go by order."""
-    r = correlation_matrix(profiles)
-    load = np.nansum(np.abs(r), axis=0)
-    gone = set()
-    for i in range(len(r)):
-        for j in range(i):
-            if r[i, j] > threshold:
-                gone.add(i if load[i] >= load[j] else j)
+    """Of each pair that correlates above threshold (signed), the feature that correlates more with all others goes; ties go by order.
+
+    Rows of correlations are judged where they are; a number a feature reaches the driver twice, its load and whether it goes."""
+    rows = correlation_rows(profiles).persist()
+    try:
+        size = F.aggregate("r", F.lit(0.0), lambda a, x: a + F.coalesce(F.abs(F.nanvl(x, F.lit(None).cast("double"))), F.lit(0.0)))
+        load = np.zeros(len(profiles.names))
+        for row in rows.select("i", size.alias("load")).collect():
+            load[row["i"]] = row["load"]
+
+        def judged(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in parts:
+                gone: set[int] = set()
+                for i, r in zip(pdf["i"], pdf["r"]):
+                    j = np.flatnonzero(np.asarray(r, float)[:i] > threshold)
+                    heavier = load[i] >= load[j]
+                    gone |= set(j[~heavier].tolist()) | ({int(i)} if heavier.any() else set())
+                yield pd.DataFrame({"i": sorted(gone)}, dtype="int32")
+
+        gone = {r["i"] for r in rows.mapInPandas(judged, "i int").distinct().collect()}
+    finally:
+        rows.unpersist()
     return [n for k, n in enumerate(profiles.names) if k not in gone]
 
 

@@ -13,7 +13,7 @@ from platelake.functions.naming import drop_bookkeeping, nulls_for_tokens, prefi
 from platelake.operators import cells as C
 from platelake.operators import images as I
 from platelake.operators import induction as H
-from platelake.operators import qc, selection, similarity, wells
+from platelake.operators import jobs, qc, selection, similarity, wells
 from platelake.operators.normalize import mad_robustize
 from platelake.operators.profiles import Profiles
 from platelake.plans.adapters import CONTROL, FEATURES, META, SQL_CELLS, SQL_EVENTS, SQL_IMAGES, SQL_OBJECTS, TIMES, cells, events, images, load, measurements, objects
@@ -128,21 +128,31 @@ def venn_per_timepoint(spark, sf_dir):
     return H.venn_per_time(flags(spark, sf_dir))
 
 
-@query(f"""WITH {SQL_EVENTS}, c AS (SELECT * FROM ev WHERE Metadata_Compound = 'view' AND value IS NOT NULL), r AS (SELECT min(value) AS lo, (max(value) - min(value)) / 100 AS w FROM c)
-    SELECT Metadata_Plate, CAST(least(99, floor((value - lo) / w)) AS BIGINT) AS bin, count(*) AS n FROM c, r GROUP BY ALL""")
+# Controls of each plate and time are binned over their own range, as a histogram of that group alone is.
+@query(f"""{_HITS}, c AS (SELECT Metadata_Plate, Metadata_Timepoint, induction AS v FROM ind WHERE Metadata_Compound = '{CONTROL}'),
+    r AS (SELECT Metadata_Plate, Metadata_Timepoint, min(v) AS lo, max(v) AS hi FROM c GROUP BY ALL),
+    e AS (SELECT Metadata_Plate, Metadata_Timepoint, CASE WHEN hi = lo THEN lo - 0.5 ELSE lo END AS lo, CASE WHEN hi = lo THEN 1.0 ELSE hi - lo END / 100 AS w FROM r)
+    SELECT Metadata_Plate, Metadata_Timepoint, CAST(least(99, floor((v - lo) / w)) AS BIGINT) AS bin, round(any_value(lo), 6) AS start, count(*) AS n
+    FROM c JOIN e USING (Metadata_Plate, Metadata_Timepoint) GROUP BY Metadata_Plate, Metadata_Timepoint, bin""")
 def induction_histogram(spark, sf_dir):
-    views = events(spark, sf_dir).filter("Metadata_Compound = 'view'")
-    return H.histogram(views, ["Metadata_Plate"], "value").select("Metadata_Plate", "bin", "n")
+    made = H.histogram(induced(spark, sf_dir).filter(control()), GROUP)
+    return rounded(made.select(*GROUP, "bin", (F.col("low") - F.col("bin") * (F.col("high") - F.col("low"))).alias("start"), "n"), "start")
 
 
-@query(f"""{_HITS}, c AS (SELECT Metadata_Plate, induction AS v FROM ind WHERE Metadata_Compound = '{CONTROL}'),
-    st AS (SELECT Metadata_Plate, count(*) AS n, stddev_samp(v) * pow(count(*), -0.2) AS h, min(v) AS lo, max(v) AS hi FROM c GROUP BY ALL),
-    grid AS (SELECT Metadata_Plate, n, h, k, lo - 3 * h + k * (hi - lo + 6 * h) / 99 AS x FROM st, range(0, 100) AS r(k) WHERE h > 0),
-    vals AS (SELECT Metadata_Plate, v, count(*) AS cnt FROM c GROUP BY ALL)
-    SELECT Metadata_Plate, round(x, 6) AS x, round(sum(cnt * exp(-0.5 * pow((x - v) / h, 2)) / (n * h * sqrt(2 * pi()))), 6) AS density
-    FROM grid JOIN vals USING (Metadata_Plate) GROUP BY Metadata_Plate, x""")
+@query(f"""WITH {SQL_EVENTS}, c AS (SELECT * FROM ev WHERE value IS NOT NULL), r AS (SELECT Metadata_Plate, Metadata_Compound, min(value) AS lo, (max(value) - min(value)) / 100 AS w FROM c GROUP BY ALL)
+    SELECT Metadata_Plate, Metadata_Compound, CAST(least(99, floor((value - lo) / w)) AS BIGINT) AS bin, count(*) AS n FROM c JOIN r USING (Metadata_Plate, Metadata_Compound) GROUP BY ALL""")
+def event_histogram(spark, sf_dir):
+    return H.histogram(events(spark, sf_dir), ["Metadata_Plate", "Metadata_Compound"], "value").select("Metadata_Plate", "Metadata_Compound", "bin", "n")
+
+
+@query(f"""{_HITS}, c AS (SELECT Metadata_Plate, Metadata_Timepoint, induction AS v FROM ind WHERE Metadata_Compound = '{CONTROL}'),
+    st AS (SELECT Metadata_Plate, Metadata_Timepoint, count(*) AS n, stddev_samp(v) * pow(count(*), -0.2) AS h, min(v) AS lo, max(v) AS hi FROM c GROUP BY ALL),
+    grid AS (SELECT Metadata_Plate, Metadata_Timepoint, n, h, k, lo + k * (hi - lo) / 199 AS x FROM st, range(0, 200) AS r(k) WHERE h > 0),
+    vals AS (SELECT Metadata_Plate, Metadata_Timepoint, v, count(*) AS cnt FROM c GROUP BY ALL)
+    SELECT Metadata_Plate, Metadata_Timepoint, round(x, 6) AS x, round(sum(cnt * exp(-0.5 * pow((x - v) / h, 2)) / (n * h * sqrt(2 * pi()))), 6) AS density
+    FROM grid JOIN vals USING (Metadata_Plate, Metadata_Timepoint) GROUP BY Metadata_Plate, Metadata_Timepoint, x""")
 def induction_density(spark, sf_dir):
-    return rounded(H.density(induced(spark, sf_dir).filter(control()), ["Metadata_Plate"]), "x", "density")
+    return rounded(H.density(induced(spark, sf_dir).filter(control()), GROUP), "x", "density")
 
 
 # --- Wells --------------------------------------------------------------------------------------------------------------
@@ -230,30 +240,13 @@ def annotate_platemap(spark, sf_dir):
     return rounded(wells.annotate(profiles, wells.platemap_of(plate), ["Metadata_Well"]), "balance", digits=4)
 
 
-_CLEAN = f"""WITH {SQL_OBJECTS}, ok AS (SELECT * FROM obj WHERE ImageQC_flag = 0 AND Metadata_Timepoint = '1995' AND Metadata_Plate = 1),
-    s AS (SELECT Metadata_Well, count(DISTINCT Metadata_Site) AS n FROM ok GROUP BY ALL),
-    w AS (SELECT Metadata_Well, avg(line * (SELECT max(n) FROM s) / n::DOUBLE) AS l, avg(quantity) AS q FROM ok JOIN s USING (Metadata_Well) GROUP BY ALL)"""
-
-
-@query(f"""{_CLEAN} SELECT 'C' || (Metadata_Well % 5) AS Metadata_Compound, Metadata_Well % 3 AS Metadata_ConcLevel, Metadata_Well, CAST('1' AS VARCHAR) AS Metadata_Plate,
-    round(l, 6) AS DNA_line, round(q, 6) AS DNA_quantity, '1995' AS Metadata_Timepoint FROM w""")
-def well_profiles(spark, sf_dir):
-    """The chain from objects to annotated wells on one plate and time."""
-    image = images(spark, sf_dir).filter("Metadata_Timepoint = '1995' AND Metadata_Plate = 1")
-    nuclei = measurements(spark, sf_dir).select("ImageNumber", "line", "quantity").join(image.select("ImageNumber"), "ImageNumber", "left_semi")
-    well = spark.range(96).select(F.concat(F.lit("c"), F.col("id") % 5).alias("Metadata_Compound"), (F.col("id") % 3).alias("Metadata_ConcLevel"), F.col("id").alias("Metadata_Well"), F.lit("1").alias("Metadata_Plate"))
-    images_only = image.select("ImageNumber", "Metadata_Well", "Metadata_Site", "ImageQC_flag")
-    made = wells.well_profiles({"Image": images_only, "Nuclei": nuclei}, well, "1995").filter("DNA_line IS NOT NULL")
-    return rounded(made.drop("Image_ImageQC_flag"), "DNA_line", "DNA_quantity")
-
-
 @query(f"""WITH {SQL_OBJECTS}, ok AS (SELECT * FROM obj WHERE ImageQC_flag = 0),
     s AS (SELECT Metadata_Plate, Metadata_Timepoint, Metadata_Well, count(DISTINCT Metadata_Site) AS n FROM ok GROUP BY ALL),
     f AS (SELECT *, max(n) OVER (PARTITION BY Metadata_Plate, Metadata_Timepoint) / n::DOUBLE AS f FROM s),
     w AS (SELECT Metadata_Plate, Metadata_Timepoint, Metadata_Well, avg(line * f) AS l, avg(quantity) AS q FROM ok JOIN f USING (Metadata_Plate, Metadata_Timepoint, Metadata_Well) GROUP BY ALL)
     SELECT 'C' || (Metadata_Well % 5) AS Metadata_Compound, Metadata_Well % 3 AS Metadata_ConcLevel, Metadata_Well, CAST(Metadata_Plate AS VARCHAR) AS Metadata_Plate,
     round(l, 6) AS DNA_line, round(q, 6) AS DNA_quantity, Metadata_Timepoint FROM w""")
-def well_profiles_all(spark, sf_dir):
+def well_profiles(spark, sf_dir):
     """The chain from objects to annotated wells on all plates and times, which are group keys."""
     keys = [*GROUP, "Metadata_Well"]
     image = images(spark, sf_dir).select("ImageNumber", *keys, "Metadata_Site", "ImageQC_flag")
@@ -315,9 +308,8 @@ def fs_na(spark, sf_dir):
 
 @query(f"WITH {SQL_OBJECTS} SELECT * FROM ({' UNION ALL '.join(f'SELECT {i} AS i, {j} AS j, round(corr({a}, {b}), 6) + 0.0 AS r FROM obj' for i, a in enumerate(FEATURES) for j, b in enumerate(FEATURES) if i < j)})")
 def fs_correlation(spark, sf_dir):
-    r = selection.correlation_matrix(_profiles(spark, sf_dir))
-    rows = [(i, j, float(r[i, j])) for i in range(len(r)) for j in range(i + 1, len(r))]
-    return rounded(spark.createDataFrame(rows, "i int, j int, r double"), "r")
+    r = selection.correlation_rows(_profiles(spark, sf_dir)).select("i", F.posexplode("r").alias("j", "r")).filter("i < j")
+    return rounded(r, "r")
 
 
 @query(f"WITH {SQL_OBJECTS}, {_LONG} SELECT pos, min(x) AS low, max(x) AS high FROM long GROUP BY pos")
@@ -501,12 +493,8 @@ def illumination_divide(spark, sf_dir):
 @query("""WITH l AS (SELECT vec_id, unnest(CAST(embedding AS DOUBLE[])) AS x FROM embeddings), m AS (SELECT vec_id, x, avg(x) OVER (PARTITION BY vec_id) AS m FROM l)
     SELECT vec_id, round(avg(x), 6) + 0.0 AS mean, round(median(abs(x - m)), 6) AS spread, round(max(x) - min(x), 6) AS extent FROM m GROUP BY vec_id""")
 def pixel_statistics(spark, sf_dir):
-    v = F.col("embedding").cast("array<double>")
-    e = load(spark, sf_dir, "embeddings").select("vec_id", v.alias("v"), (F.aggregate(v, F.lit(0.0), lambda a, x: a + x) / F.size(v)).alias("mean"))
-    gaps = F.array_sort(F.transform("v", lambda x: F.abs(x - F.col("mean"))))
-    n = F.size("v")
-    middle = (F.element_at(gaps, F.floor((n + 1) / 2).cast("int")) + F.element_at(gaps, F.floor(n / 2).cast("int") + 1)) / 2
-    return rounded(e.select("vec_id", "mean", middle.alias("spread"), (F.array_max("v") - F.array_min("v")).alias("extent")), "mean", "spread", "extent")
+    e = load(spark, sf_dir, "embeddings").select("vec_id", I.pixel_statistics(F.col("embedding").cast("array<double>")).alias("s"))
+    return rounded(e.select("vec_id", "s.mean", "s.spread", "s.extent"), "mean", "spread", "extent")
 
 
 def _numbered_vectors(e: DataFrame) -> DataFrame:
@@ -590,17 +578,19 @@ def natural_sort_key(spark, sf_dir):
     SELECT plate, time, r // 10 AS batch, CASE WHEN count(*) OVER (PARTITION BY r // 10) < 5 THEN 'small' ELSE 'large' END AS instance FROM j""")
 def job_grid_batches(spark, sf_dir):
     plates, times = load(spark, sf_dir, "nation").select(F.col("n_name").alias("plate")), load(spark, sf_dir, "region").select(F.col("r_name").alias("time"))
-    jobs = H.numbered_rows(plates.join(times).withColumn("one", F.lit(1)), ["one"], ["plate", "time"])
-    jobs = jobs.withColumn("batch", F.floor(F.col("r") / 10))
-    size = F.count("*").over(H.Window.partitionBy("batch"))
-    return jobs.select("plate", "time", "batch", F.when(size < 5, "small").otherwise("large").alias("instance"))
+    return jobs.job_batches(plates.select("plate"), times.select("time"))
 
 
-@query("SELECT n_name, min(c_name) AS folder FROM nation JOIN customer ON contains(c_name, CAST(n_nationkey AS VARCHAR)) GROUP BY n_name")
+@query("""WITH f AS (SELECT DISTINCT 's3/' || c_nationkey || 'h_' || r_regionkey || '/' || c_mktsegment AS folder FROM customer, region)
+    SELECT CAST(r_regionkey AS VARCHAR) AS plate, CAST(n_nationkey AS VARCHAR) AS time, min(folder) AS folder
+    FROM region, nation JOIN f ON contains(folder, n_nationkey || 'h_' || r_regionkey) GROUP BY ALL""")
 def job_first_folder(spark, sf_dir):
-    nation, folders = load(spark, sf_dir, "nation"), load(spark, sf_dir, "customer").select("c_name")
-    met = folders.join(F.broadcast(nation), F.contains("c_name", F.col("n_nationkey").cast("string")))  # 25 nations
-    return met.groupBy("n_name").agg(F.min("c_name").alias("folder"))
+    """The first folder, by name, that holds time, "h_" and plate, for jobs that have one."""
+    nation, region = load(spark, sf_dir, "nation"), load(spark, sf_dir, "region")
+    made = load(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select("n_nationkey", "c_mktsegment").distinct()
+    made = made.join(region.select("r_regionkey"), how="cross").select(F.concat(F.lit("s3/"), F.col("n_nationkey").cast("string"), F.lit("h_"), F.col("r_regionkey").cast("string"), F.lit("/"), F.col("c_mktsegment")).alias("folder"))
+    grid = region.select(F.col("r_regionkey").cast("string").alias("plate")).join(nation.select(F.col("n_nationkey").cast("string").alias("time")), how="cross")
+    return jobs.first_folders(grid, made)
 
 
 @query("""WITH p AS (SELECT string_split(url, '/') AS s FROM pages), a AS (SELECT s, list_position(list_transform(s, lambda x: contains(x, 'example')), true) AS k FROM p)

@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from platelake.functions import scalars
-from platelake.functions.naming import features_not_starting, features_without, prefixed
+from platelake.functions.naming import drop_stale_qc, features_not_starting, features_without, prefixed
 from platelake.operators import cells, images, induction, selection, similarity, wells
 from platelake.operators.normalize import mad_robustize
 from platelake.operators.profiles import Profiles
 from platelake.sources import tables
-from platelake.sources.images import load_arrays, map_images
+from platelake.sources.images import load_arrays, map_images, write_files
 
 KEYS = ["Metadata_Plate", "Metadata_Timepoint"]
 
@@ -88,17 +88,25 @@ def call_hits(selected: DataFrame, threshold: float = 0.95, quantile: float = 0.
     }
 
 
-def image_qc(spark: SparkSession, sites: DataFrame, folder: str, illumination: str | None = None, key: str = "site_id") -> DataFrame:
-    """sites with the quality of the image of each channel, read from folder; images are decoded where they are read."""
+def image_qc(spark: SparkSession, sites: DataFrame, folder: str, illumination: str | None = None, key: str = "site_id", small: int = 64 << 20) -> DataFrame:
+    """sites with the quality of the image of each channel; its file is named by its path below folder.
+
+    Columns of an earlier run go first. A file that is not there is an error of its channel. Names of up to small bytes are sent to
+    where the images are read, so that no image is moved; beyond that, images are dealt out by their paths."""
+    sites = drop_stale_qc(sites)
     channels = [c[len("FileName_") :] for c in sites.columns if c.startswith("FileName_")]
     arrays = load_arrays(spark.read.format("binaryFile").option("pathGlobFilter", "*.npy").load(illumination)) if illumination else None
-    files = tables.images_below(spark, folder).select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
-    met = images.unpivot_channels(sites, key).join(files, "file", "left")
-    return images.quality_columns(sites, images.image_quality(met, key, arrays), key, channels)
+    names = images.unpivot_channels(sites, key).withColumn("file", F.regexp_replace("file", "^(\\./)+", ""))
+    size = names.agg(F.sum(F.length("file") + F.length("channel") + 64)).first()[0] or 0
+    files = tables.images_below(spark, folder).select(tables.path_below(folder).alias("file"), "content")
+    met = files.join(F.broadcast(names) if size <= small else names, "file")
+    found = images.image_quality(met, key, arrays)
+    missing = names.join(found.select(key, "channel"), [key, "channel"], "left_anti").select(key, "channel", F.lit(None).cast("double").alias("slope"), F.lit(None).cast("double").alias("percent"), F.lit("File Not Found").alias("error"))
+    return images.quality_columns(sites, found.unionByName(missing), key, channels)
 
 
 def rebin_images(spark: SparkSession, folder: str, resolution: int = 1080) -> DataFrame:
-    """path (Image becoming Image_binned), content and error of every image below folder, resampled."""
+    """path (Image becoming Image_binned), content and error of every image below folder, grey or colour, resampled."""
     return map_images(tables.images_below(spark, folder), lambda x: images.resize(x, resolution), lambda p: p.replace("Image", "Image_binned"))
 
 
@@ -111,6 +119,19 @@ def project_planes(planes: DataFrame, pixels: DataFrame, channels: int, n_planes
     return named.join(images.max_projection(grouped.join(pixels, "path"), keys), keys)
 
 
+def project_files(spark: SparkSession, planes: DataFrame, folder: str, channels: int, n_planes: int, output: str | None = None, order: str = "row_idx") -> DataFrame:
+    """PlateID, chunk, channel, path, content and error: the projection of every stack of planes (PlateID, Image_PathName, Image_FileName).
+
+    Files are named by their path below folder; a projection is named after its first plane, Images becoming ImagesStacked. With
+    output the files are written below it as well, and path, bytes and error of each are returned."""
+    named = planes.withColumn("path", scalars.path_join(F.col("Image_PathName"), F.col("Image_FileName")))
+    grouped = images.plane_groups(named, channels, n_planes, [order]).select("PlateID", "chunk", "channel", "plane", "path")
+    files = tables.images_below(spark, folder).select(tables.path_below(folder).alias("path"), "content")
+    made = images.project_images(grouped.join(files, "path", "left"), ["PlateID", "chunk", "channel"])
+    made = made.withColumn("path", scalars.stacked_path(F.col("path")))
+    return write_files(made, output) if output else made
+
+
 def embed_sites(sites: DataFrame, key: str, load: Callable[[dict], np.ndarray], models: Callable[[], tuple], channels: int, drop_dead: bool = False) -> dict[str, DataFrame]:
     """Site counts, cell coordinates, single cells and well embeddings of sites (key, Metadata_Well, Metadata_Site, ...) through the given models.
 

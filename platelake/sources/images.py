@@ -1,10 +1,11 @@
-"""Decoding and encoding images: .npy and uncompressed grey TIFF here, other formats by Pillow where it is installed."""
+"""Decoding and encoding images: .npy and uncompressed TIFF here, other formats by Pillow where it is installed."""
 
 from __future__ import annotations
 
 import io
 import os
 import struct
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -29,7 +30,7 @@ def decode(data: bytes) -> np.ndarray:
 
 
 def _read_tiff(data: bytes) -> np.ndarray | None:
-    """Grey uncompressed TIFF; None for anything else."""
+    """Uncompressed TIFF, grey or of several samples a pixel side by side; None for anything else."""
     order = "<" if data[:2] == b"II" else ">"
     # Field types of the format and their sizes.
     sizes = {1: ("B", 1), 3: ("H", 2), 4: ("I", 4)}
@@ -44,23 +45,36 @@ def _read_tiff(data: bytes) -> np.ndarray | None:
                 place = struct.unpack_from(order + "I", data, place)[0]
             tags[tag] = list(struct.unpack_from(f"{order}{n}{code}", data, place))
     width, height, bits = tags[256][0], tags[257][0], tags.get(258, [1])
-    if tags.get(259, [1])[0] != 1 or len(bits) != 1 or bits[0] not in (8, 16, 32):
+    samples = tags.get(277, [1])[0]
+    if tags.get(259, [1])[0] != 1 or len(set(bits)) != 1 or bits[0] not in (8, 16, 32) or (samples > 1 and tags.get(284, [1])[0] != 1) or tags.get(262, [1])[0] not in (1, 2):
         return None
-    kind = "f" if tags.get(339, [1])[0] == 3 else "u"
+    kind = {2: "i", 3: "f"}.get(tags.get(339, [1])[0], "u")
     body = b"".join(data[o : o + n] for o, n in zip(tags[273], tags[279]))
-    return np.frombuffer(body, f"{order}{kind}{bits[0] // 8}", width * height).reshape(height, width).astype(f"{kind}{bits[0] // 8}")
+    shape = (height, width) if samples == 1 else (height, width, samples)
+    return np.frombuffer(body, f"{order}{kind}{bits[0] // 8}", width * height * samples).reshape(shape).astype(f"{kind}{bits[0] // 8}")
 
 
 def encode_tiff(pixels: np.ndarray) -> bytes:
-    """A grey uncompressed TIFF of 8 or 16 bits, or of 32-bit floats."""
+    """An uncompressed TIFF, grey or colour, of whole numbers with or without sign or of 32-bit floats."""
     a = np.ascontiguousarray(pixels)
+    if a.dtype.kind not in "uif" or a.dtype.itemsize > 4 or a.ndim not in (2, 3):
+        raise ValueError(f"no TIFF of {a.ndim} dimensions of {a.dtype}")
+    samples = a.shape[2] if a.ndim == 3 else 1
     bits = a.dtype.itemsize * 8
     body = a.astype(a.dtype.newbyteorder("<")).tobytes()
-    kind = 3 if a.dtype.kind == "f" else 1
-    entries = [(256, 4, a.shape[1]), (257, 4, a.shape[0]), (258, 3, bits), (259, 3, 1), (262, 3, 1), (273, 4, 8), (277, 3, 1), (278, 4, a.shape[0]), (279, 4, len(body)), (339, 3, kind)]
-    pad = len(body) % 2
-    directory = struct.pack("<H", len(entries)) + b"".join(struct.pack("<HHI", t, k, 1) + (struct.pack("<HH", v, 0) if k == 3 else struct.pack("<I", v)) for t, k, v in entries) + struct.pack("<I", 0)
-    return b"II*\0" + struct.pack("<I", 8 + len(body) + pad) + body + b"\0" * pad + directory
+    body += b"\0" * (len(body) % 2)
+    kind = {"u": 1, "i": 2, "f": 3}[a.dtype.kind]
+    colour = 2 if samples >= 3 else 1
+    # Two values of a short field stand in its entry, more of them behind the pixels.
+    lists = {258: [bits] * samples, 339: [kind] * samples} | ({338: [0] * (samples - (3 if colour == 2 else 1))} if samples not in (1, 3) else {})
+    entries: list[tuple[int, int, list[int]]] = [(256, 4, [a.shape[1]]), (257, 4, [a.shape[0]]), (259, 3, [1]), (262, 3, [colour]), (273, 4, [8]), (277, 3, [samples]), (278, 4, [a.shape[0]]), (279, 4, [a.nbytes]), (284, 3, [1]), *((t, 3, v) for t, v in lists.items())]
+    extra, packed = b"", b""
+    for tag, k, values in sorted(entries):
+        field = struct.pack(f"<{len(values)}{'H' if k == 3 else 'I'}", *values)
+        if len(field) > 4:
+            field, extra = struct.pack("<I", 8 + len(body) + len(extra)), extra + field + b"\0" * (len(field) % 2)
+        packed += struct.pack("<HHI", tag, k, len(values)) + field.ljust(4, b"\0")
+    return b"II*\0" + struct.pack("<I", 8 + len(body) + len(extra)) + body + extra + struct.pack("<H", len(entries)) + packed + struct.pack("<I", 0)
 
 
 def map_images(files: DataFrame, f: Callable[[np.ndarray], np.ndarray], path: Callable[[str], str] = lambda p: p) -> DataFrame:
@@ -105,7 +119,7 @@ def write_files(files: DataFrame, root: str) -> DataFrame:
                 try:
                     target = os.path.join(root, p.removeprefix("file:").lstrip("/"))
                     os.makedirs(os.path.dirname(target), exist_ok=True)
-                    part = f"{target}.{os.getpid()}.part"
+                    part = f"{target}.{uuid.uuid4().hex}.part"
                     with open(part, "wb") as f:
                         f.write(data)
                     os.replace(part, target)

@@ -6,7 +6,7 @@ import csv
 import re
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from platelake.functions.naming import nulls_for_nan, nulls_for_tokens
@@ -78,6 +78,12 @@ def images_below(spark: SparkSession, folder: str) -> DataFrame:
     return files.filter(F.lower("path").rlike(r"\.(png|jpg|jpeg|tif|tiff)$"))
 
 
+def path_below(folder: str, path: str = "path") -> Column:
+    """The part of a path below folder, which may be written with or without the scheme of its file system."""
+    key = re.escape(folder.rstrip("/"))
+    return F.regexp_extract(path, f"^.*?{key}/+(.*)$", 1)
+
+
 def with_row_index(df: DataFrame, column: str = "row_idx") -> DataFrame:
     """File order made explicit: rows numbered from 0 across files by path, row group order within a file.
 

@@ -47,6 +47,58 @@ def test_tiff_round_trip():
         assert (codec.decode(codec.encode_tiff(x)) == x).all() and codec.decode(codec.encode_tiff(x)).dtype == x.dtype
 
 
+def test_tiff_of_signed_and_colour_pixels():
+    rng = np.random.default_rng(2)
+    for x in (np.array([[-5, 3], [7, -32768]], np.int16), np.array([[-1, 2, 3]], np.int8), rng.integers(0, 255, (5, 7, 3)).astype(np.uint8), rng.integers(0, 60000, (3, 4, 4)).astype(np.uint16), np.array([[-70000]], np.int32)):
+        back = codec.decode(codec.encode_tiff(x))
+        assert back.dtype == x.dtype and back.shape == x.shape and (back == x).all()
+    small = images.resize(np.dstack([np.full((9, 8), v, np.uint8) for v in (1, 2, 3)]), 4)
+    assert small.shape == (4, 4, 3) and small[0, 0].tolist() == [1, 2, 3]
+    with pytest.raises(ValueError):
+        codec.encode_tiff(np.zeros((2, 2), np.float64))
+
+
+def test_image_qc_from_files(spark, tmp_path):
+    """Files of one name in two folders are told apart; columns of an earlier run go; a file that is not there is reported."""
+    from platelake.plans import pipelines
+
+    rng = np.random.default_rng(5)
+    a, b, c = (rng.integers(1, 200, (64, 64)).astype(np.uint8) for _ in range(3))
+    for name, x in (("P1/x.tif", a), ("P2/x.tif", b), ("x.tif", c)):
+        (tmp_path / "in" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / name).write_bytes(codec.encode_tiff(x))
+    np.save(tmp_path / "DNA_illum.npy", np.full((64, 64), 2.0))
+    sites = spark.createDataFrame([(1, "P1/x.tif", "x.tif", 9.0), (2, "./P2/x.tif", "gone.tif", 9.0)], "site_id int, FileName_DNA string, FileName_ER string, ImageQuality_PercentMaximal_DNA double")
+    for small in (64 << 20, 0):
+        got = {r["site_id"]: r for r in pipelines.image_qc(spark, sites, str(tmp_path / "in"), str(tmp_path), small=small).collect()}
+        assert math.isclose(got[1]["ImageQuality_PowerLogLogSlope_DNA"], images.power_slope(a / 2.0)) and math.isclose(got[2]["ImageQuality_PowerLogLogSlope_DNA"], images.power_slope(b / 2.0))
+        assert math.isclose(got[1]["ImageQuality_PercentMaximal_ER"], images.percent_maximal(c)) and got[2]["QC_Error_ER"] == "File Not Found" and got[1]["QC_Error_ER"] is None
+    again = pipelines.image_qc(spark, pipelines.image_qc(spark, sites, str(tmp_path / "in")), str(tmp_path / "in"))
+    assert len(set(again.columns)) == len(again.columns) == 3 + 6
+    with pytest.raises(Exception, match="two images"):
+        pipelines.image_qc(spark, sites.withColumn("site_id", F.lit(1)), str(tmp_path / "in")).collect()
+
+
+def test_projection_from_files_to_files(spark, tmp_path):
+    from platelake.plans import pipelines
+
+    rng = np.random.default_rng(6)
+    rows, held = [], {}
+    for k in range(13):
+        x = rng.integers(0, 255, (6, 5) if k != 7 else (5, 6)).astype(np.uint8)
+        (tmp_path / "in/a/Images").mkdir(parents=True, exist_ok=True)
+        (tmp_path / f"in/a/Images/{k}.tif").write_bytes(codec.encode_tiff(x))
+        held[k] = x
+        rows.append(("P", "a/Images", f"{k}.tif", k))
+    planes = spark.createDataFrame(rows, "PlateID string, Image_PathName string, Image_FileName string, row_idx int")
+    got = {(r["chunk"], r["channel"]): r for r in pipelines.project_files(spark, planes, str(tmp_path / "in"), 2, 3).collect()}
+    assert set(got) == {(0, 0), (0, 1), (1, 0), (1, 1)} and got[0, 1]["path"] == "a/ImagesStacked/1.tif"
+    assert (codec.decode(bytes(got[0, 0]["content"])) == np.maximum.reduce([held[0], held[2], held[4]])).all()
+    assert got[1, 1]["content"] is None and "different shape" in got[1, 1]["error"]
+    done = pipelines.project_files(spark, planes, str(tmp_path / "in"), 2, 3, str(tmp_path / "out")).collect()
+    assert len(done) == 3 and (codec.decode((tmp_path / "out/a/ImagesStacked/0.tif").read_bytes()) == np.maximum.reduce([held[0], held[2], held[4]])).all()
+
+
 def test_plane_groups_and_projection(spark):
     planes = spark.createDataFrame([("P", k, [float(k), 10.0 - k]) for k in range(14)], "PlateID string, row_idx int, pixels array<double>")
     got = images.plane_groups(planes, 2, 3, ["row_idx"])

@@ -172,11 +172,42 @@ def test_histogram_counts_everything(spark):
     assert sum(r["n"] for r in got) == 11 and max(r["bin"] for r in got) == 4
     flat = spark.createDataFrame([("p", 1.0)] * 3, "k string, induction double")
     assert [r["n"] for r in induction.histogram(flat, ["k"]).collect()] == [3]
-    area = induction.density(df, ["k"]).orderBy("x").collect()
+    area = induction.density(df, ["k"], cut=3.0).orderBy("x").collect()
     x, y = np.array([r["x"] for r in area]), np.array([r["density"] for r in area])
     assert math.isclose(float(((y[1:] + y[:-1]) / 2 * np.diff(x)).sum()), 1, abs_tol=0.02)
 
 
+def test_histogram_and_density_keep_to_a_group(spark):
+    """Worked out by hand: one group from 0 to 1 and one from 10 to 30 have bins of their own; a group of one value has bins around it."""
+    data = [("a", 0.0), ("a", 0.26), ("a", 0.5), ("a", 1.0), ("b", 10.0), ("b", 14.9), ("b", 15.0), ("b", 30.0), ("c", 7.0), ("c", 7.0), (None, 2.0), (None, 4.0)]
+    df = spark.createDataFrame(data, "k string, induction double")
+    got = {(r["k"], r["bin"]): (r["low"], r["high"], r["n"]) for r in induction.histogram(df, ["k"], bins=4).collect()}
+    assert got == {
+        ("a", 0): (0.0, 0.25, 1), ("a", 1): (0.25, 0.5, 1), ("a", 2): (0.5, 0.75, 1), ("a", 3): (0.75, 1.0, 1),
+        ("b", 0): (10.0, 15.0, 2), ("b", 1): (15.0, 20.0, 1), ("b", 3): (25.0, 30.0, 1),
+        ("c", 2): (7.0, 7.25, 2), (None, 0): (2.0, 2.5, 1), (None, 3): (3.5, 4.0, 1),
+    }
+    grid = induction.density(df, ["k"]).groupBy("k").agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count("*").alias("n")).orderBy("k").collect()
+    assert [tuple(r) for r in grid] == [("a", 0.0, 1.0, 200), ("b", 10.0, 30.0, 200)]
+
+
+def test_value_frequencies_of_ties(spark):
+    df = spark.createDataFrame([(1.0, 5.0), (1.0, 5.0), (2.0, 5.0), (2.0, None), (3.0, None)], "a double, b double")
+    got = {r["pos"]: tuple(r)[1:] for r in selection.value_frequencies(Profiles.of(df, ["a", "b"])).collect()}
+    assert got == {0: (3, 2, 2), 1: (1, 3, None)}
+
+
+def test_jobs(spark):
+    from platelake.operators import jobs
+
+    plates, times = spark.createDataFrame([("P1",), ("P2",), ("P3",)], "plate string"), spark.createDataFrame([("12",), ("6",), ("24",), ("48",)], "time string")
+    got = {(r["plate"], r["time"]): (r["batch"], r["instance"]) for r in jobs.job_batches(plates, times).collect()}
+    assert len(got) == 12 and [k for k, v in got.items() if v == (1, "small")] and sum(v == (0, "large") for v in got.values()) == 10
+    assert {k for k, v in got.items() if v[0] == 1} == {("P3", "48"), ("P3", "6")}
+    folders = spark.createDataFrame([("s3/b_6h_P1/x",), ("s3/a_6h_P1/x",), ("s3/12h_P2/y",)], "folder string")
+    assert sorted(map(tuple, jobs.first_folders(spark.createDataFrame([("P1", "6"), ("P2", "12"), ("P3", "6")], "plate string, time string"), folders).collect())) == [("P1", "6", "s3/a_6h_P1/x"), ("P2", "12", "s3/12h_P2/y")]
+
+
 def test_text_functions(spark):
     df = spark.createDataFrame([("a/Images/b.tif",), ("a/Image/Image_1.tif",), ("binned/P01",), ("dmso_1",), ("binned/inner1",)], "p string")
     p = F.col("p")
@@ -232,16 +263,21 @@ def test_cosine_summary_has_no_limit_on_a_group(spark, tmp_path):
 
 
 def test_well_profiles_of_all_plates_and_times(spark):
-    """Every plate and time with a passing image has its profiles, and those of one are what the query on one gives."""
+    """Every plate and time with a passing image has its profiles, and those of one are what the chain on its tables alone gives."""
+    from platelake.operators import wells
     from platelake.plans.adapters import images, measurements
-    from platelake.plans.catalog import QUERIES
+    from platelake.plans.catalog import QUERIES, rounded
 
     sf = "/root/testdata/sf0.001"
     keys = ["Metadata_Plate", "Metadata_Timepoint"]
-    made = QUERIES["well_profiles_all"](spark, sf)
+    made = QUERIES["well_profiles"](spark, sf)
     got = made.collect()
     image = images(spark, sf).filter("ImageQC_flag = 0").join(measurements(spark, sf), "ImageNumber", "left_semi")
     assert {(r[keys[0]], r[keys[1]], r["Metadata_Well"]) for r in got} == {(str(p), t, w) for p, t, w in image.select(*keys, "Metadata_Well").collect()}
     assert len({(r[keys[0]], r[keys[1]]) for r in got}) > 1
-    one = QUERIES["well_profiles"](spark, sf)
+    of_one = images(spark, sf).filter("Metadata_Timepoint = '1995' AND Metadata_Plate = 1")
+    nuclei = measurements(spark, sf).select("ImageNumber", "line", "quantity").join(of_one.select("ImageNumber"), "ImageNumber", "left_semi")
+    layout = spark.range(96).select(F.concat(F.lit("c"), F.col("id") % 5).alias("Metadata_Compound"), (F.col("id") % 3).alias("Metadata_ConcLevel"), F.col("id").alias("Metadata_Well"), F.lit("1").alias("Metadata_Plate"))
+    one = wells.well_profiles({"Image": of_one.select("ImageNumber", "Metadata_Well", "Metadata_Site", "ImageQC_flag"), "Nuclei": nuclei}, layout, "1995").filter("DNA_line IS NOT NULL")
+    one = rounded(one.drop("Image_ImageQC_flag"), "DNA_line", "DNA_quantity")
     assert rows(made.filter("Metadata_Plate = '1' AND Metadata_Timepoint = '1995'").select(*sorted(made.columns))) == rows(one.select(*sorted(one.columns)))
