@@ -119,7 +119,8 @@ def encode_decode(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col:
     """Encode each whole text and decode the ids: doc_id, n_tokens, ids_sha256, decoded_sha256 and, if asked for, ids and decoded.
 
     ids_sha256 is of the decimal ids joined by one space, decoded_sha256 of the decoded bytes. Null texts count as empty:
-    no ids, the digests of nothing. Rows map one to one, repeated rows and null identifiers included; other columns are not read.
+    no ids, the digests of nothing. Rows map one to one, repeated rows and null identifiers included; texts of any length
+    are encoded whole; other columns are not read. An empty input gives an empty result.
     """
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

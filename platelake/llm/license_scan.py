@@ -41,6 +41,10 @@ TEMPLATES = {
     "notice:cc-by": f"{_OPEN} {_VERB} under <<beginOptional>><<var;name=article;match=a|the>><<endOptional>> <<var;name=name;match=cc|creative commons>> <<var;name=by;match=by|attribution>> <<beginOptional>><<var;name=nc;match=nc|noncommercial|sa|sharealike|nd|noderivatives|nc sa|nc nd>><<endOptional>> <<var;name=version;match=1.0|2.0|2.5|3.0|4.0>> <<beginOptional>><<var;name=scope;match=international|unported|generic>><<endOptional>> <<beginOptional>>license<<endOptional>>",
     "text:mit": "<<beginOptional>>MIT License<<endOptional>> <<beginOptional>>Copyright <<var;name=holder;words=0-24>><<endOptional>> Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice <<beginOptional>>(including the next paragraph)<<endOptional>> shall be included in all copies or substantial portions of the Software.",
     "text:isc": "<<beginOptional>>ISC License<<endOptional>> <<beginOptional>>Copyright <<var;name=holder;words=0-24>><<endOptional>> Permission to use, copy, modify, <<var;name=and;match=and or|and>> distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "notice:bsd": f"{_OPEN} {_VERB} under <<beginOptional>>the terms of<<endOptional>> <<beginOptional>><<var;name=article;match=a|the>><<endOptional>> <<beginOptional>><<var;name=kind;match=2 clause|3 clause|two clause|three clause|new|simplified|modified>><<endOptional>> BSD <<beginOptional>><<var;name=style;match=2 clause|3 clause|style>><<endOptional>> License",
+    "notice:mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, <<var;name=v;match=v|version>> 2.0. If a copy of the MPL was not distributed with this file, you can obtain one at <<var;name=scheme;match=http|https>> mozilla.org/MPL/2.0",
+    "text:bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: <<beginOptional>>1<<endOptional>> Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. <<beginOptional>>2<<endOptional>> Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. <<beginOptional>><<beginOptional>>3<<endOptional>> Neither the name of <<var;name=holder;words=1-24>> nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.<<endOptional>>",
+    "text:unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
 }
 
 
@@ -183,7 +187,8 @@ def scan_licenses(docs: DataFrame, phrases: dict[str, str] | None = None, templa
     n_base counts the places of the base phrases, first_word and last_word are the least and greatest start (null without any).
     labels also has those of accepted templates; spans lists label:first-end of each acceptance. score is 0 without a label,
     0.5 with base phrases alone, and from 0.75 up to 1 with accepted templates, by the share of the words that they cover.
-    Null and empty texts have no words and the score 0; repeated rows and null identifiers are rows like others.
+    Null and empty texts have no words and the score 0; texts of any length are scanned whole; repeated rows and null identifiers
+    are rows like others; other columns are not read. An empty input gives an empty result.
     """
     phrases = PHRASES if phrases is None else phrases
     templates = TEMPLATES if templates is None else templates

@@ -190,7 +190,8 @@ def score_toxicity(docs: DataFrame, model: Model, cut: float = 0.7, id_col: str
     """One row per input row: doc_id, held_out, score, predicted, and carry.
 
     Whole texts are scored, null as empty; an empty text has the score of a text without features. Repeated rows and null
-    identifiers are rows like others. Only the text enters a score.
+    identifiers are rows like others. Only the text enters a score. An empty input gives an empty result; a model fitted on no
+    labels, or on labels of one kind, gives every text one score.
     """
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,4 +1,5 @@
 import itertools
+import math
 import random
 import re
 import zlib
@@ -179,6 +180,64 @@ def test_templates_accept_their_wordings_alone(label):
             assert all(changed[a:z] in every for _, a, z in got)
 
 
+def plain_pattern(markup):
+    """A template as an ordinary pattern over words that are each followed by one blank."""
+    out = ""
+    for p in re.split(r"(<<.*?>>)", markup):
+        if p == "<<beginOptional>>":
+            out += "(?:"
+        elif p == "<<endOptional>>":
+            out += ")?"
+        elif p.startswith("<<var;") and "match=" in p:
+            out += "(?:" + "|".join("".join(f"{w.decode()} " for w in ls.words_of(c)) for c in re.search(r"match=([^;>]*)", p)[1].split("|")) + ")"
+        elif p.startswith("<<var;"):
+            out += "(?:[^ ]+ ){" + re.search(r"words=([0-9-]*)", p)[1].replace("-", ",") + "}"
+        else:
+            out += "".join(f"{w.decode()} " for w in ls.words_of(p))
+    return re.compile(out)
+
+
+def one_wording(markup, rng):
+    """A wording that a template accepts, by chance."""
+    out, keep = [], [True]
+    for p in re.split(r"(<<.*?>>)", markup):
+        if p == "<<beginOptional>>":
+            keep.append(keep[-1] and rng.random() < 0.6)
+        elif p == "<<endOptional>>":
+            keep.pop()
+        elif keep[-1] and p.startswith("<<var;") and "match=" in p:
+            out += [w.decode() for w in ls.words_of(rng.choice(re.search(r"match=([^;>]*)", p)[1].split("|")))]
+        elif keep[-1] and p.startswith("<<var;"):
+            least, most = map(int, re.search(r"words=([0-9]+)-([0-9]+)", p).groups())
+            out += [rng.choice(["ann", "license", "2024", "mit"]) for _ in range(rng.randint(least, most))]
+        elif keep[-1]:
+            out += [w.decode() for w in ls.words_of(p)]
+    return out
+
+
+@pytest.mark.parametrize("label", sorted(ls.TEMPLATES))
+def test_every_template_against_a_plain_pattern(label):
+    """Right and wrong wordings in other words: the same places and ends as trying every stretch of words."""
+    rng = random.Random(label)
+    scanner, pattern = ls.Scanner({label: ls.TEMPLATES[label]}), plain_pattern(ls.TEMPLATES[label])
+    met = 0
+    for n in range(60):
+        w = one_wording(ls.TEMPLATES[label], rng)
+        if n % 3 == 1:
+            del w[rng.randrange(len(w))]
+        if n % 3 == 2:
+            w[rng.randrange(len(w))] = rng.choice(["zz", "the", "license"])
+        text = [rng.choice(["the", "software", "under", "copyright"]) for _ in range(rng.randint(0, 3))] + w + [rng.choice(["license", "version", "x"]) for _ in range(rng.randint(0, 3))]
+        want = []
+        for i in range(len(text)):
+            ends = [j for j in range(i + 1, len(text) + 1) if pattern.fullmatch("".join(f"{x} " for x in text[i:j]))]
+            want += [(label, i, max(ends))] if ends else []
+        got = scanner.spans(" ".join(text).encode(), [x.encode() for x in text])
+        assert got == want, text
+        met += bool(want)
+    assert met >= 20
+
+
 def test_word_ranges_and_markup_errors():
     s = ls.Scanner({"t": "copyright <<var;name=h;words=1-3>> reserved"})
     find = lambda t: s.spans(t.encode(), ls.words_of(t))
@@ -254,6 +313,35 @@ def test_one_class_and_no_labels():
     assert tx.fit(["a", "b"], np.array([0, 0])).score(["x"])[0] < 0.5
 
 
+def plain_score(model, text):
+    """The score of one text by a plain sum over its different character n-grams."""
+    padded = f" {(text or '').encode().translate(LOWER).decode()} "
+    weight = dict(zip(model.buckets.tolist(), model.weights.tolist()))
+    buckets = set()
+    for n in tx.SIZES:
+        for k in range(len(padded) - n + 1):
+            h = 0
+            for c in padded[k : k + n]:
+                h = (h * 0x01000193 + ord(c)) & 0xFFFFFFFF
+            h ^= n * 0x9E3779B1 & 0xFFFFFFFF
+            h = (h ^ h >> 16) * 0x85EBCA6B & 0xFFFFFFFF
+            h = (h ^ h >> 13) * 0xC2B2AE35 & 0xFFFFFFFF
+            buckets.add(h >> 32 - tx.BITS)
+    z = model.bias + sum(weight.get(b, 0.0) for b in buckets)
+    return 1 / (1 + math.exp(-max(-500, min(500, z))))
+
+
+def test_scores_are_sums_over_ngrams(spark, corpus, awkward):
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    model = tx.train_model(corpus, labels)
+    assert len(model.buckets) > 100
+    rows = [(r["doc_id"], r["text"]) for r in corpus.collect()][:60]
+    got = {r["doc_id"]: r["score"] for r in tx.score_toxicity(corpus, model).collect()}
+    assert all(math.isclose(got[i], plain_score(model, t), rel_tol=1e-9, abs_tol=1e-12) for i, t in rows)
+    want = sorted(round(plain_score(model, t), 9) for _, t, *_ in awkward_rows())
+    assert sorted(round(r["score"], 9) for r in tx.score_toxicity(awkward, model).collect()) == want
+
+
 def test_scores_awkward(spark, awkward, empty):
     labels = spark.createDataFrame([(5, 1, 1), (6, 0, 1), (8, 0, 0), (9, 0, 0), (None, 0, 1), (11, 0, None)], "doc_id long, quality int, toxic int")
     got = tx.score_toxicity(awkward, tx.train_model(awkward, labels)).collect()
