@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -122,14 +123,43 @@ def plane_groups(planes: DataFrame, channels: int, n_planes: int, order: list, p
     return rows.withColumn("_whole", whole).filter("_whole").drop("_r", "_whole")
 
 
+def _tops(parts: Iterator[pa.RecordBatch], most: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Batches of keys and, last, an array of pixels: the greatest values for each key, given out after most keys. Missing pixels count least."""
+    held: dict[tuple, tuple[list[pa.Array], np.ndarray]] = {}
+
+    def out() -> pa.RecordBatch:
+        keys = [pa.concat_arrays(c) for c in zip(*(k for k, _ in held.values()))]
+        return pa.RecordBatch.from_arrays([*keys, pa.array([x for _, x in held.values()], kind, from_pandas=True)], names=names)
+
+    for b in parts:
+        *keys, pixels = b.columns
+        names, kind = b.schema.names, pixels.type
+        for r in range(b.num_rows):
+            if not pixels[r].is_valid:
+                continue
+            x, key = pixels[r].values.to_numpy(zero_copy_only=False), tuple(c[r].as_py() for c in keys)
+            if key not in held:
+                held[key] = [c.slice(r, 1) for c in keys], x
+            elif held[key][1].shape != x.shape:
+                raise ValueError("images of different size")
+            else:
+                held[key] = held[key][0], np.fmax(held[key][1], x)
+            if most and len(held) >= most:
+                yield out()
+                held = {}
+    if held:
+        yield out()
+
+
 def max_projection(stacks: DataFrame, keys: list[str], pixels: str = "pixels") -> DataFrame:
     """keys and pixels: the greatest value of each pixel over the images of a group. Images of different size are an error.
 
-    Partial maxima are combined before the shuffle, so a group may be of any depth."""
-    long = stacks.select(*keys, F.size(pixels).alias("_n"), F.posexplode(pixels).alias("pos", "x"))
-    top = long.groupBy(*keys, "pos").agg(F.max("x").alias("x"), F.min("_n").alias("lo"), F.max("_n").alias("hi"))
-    same = F.when(F.max("hi") == F.min("lo"), F.transform(F.sort_array(F.collect_list(F.struct("pos", "x"))), lambda s: s["x"])).otherwise(F.raise_error(F.lit("images of different size")))
-    return top.groupBy(*keys).agg(same.alias(pixels))
+    Images are combined whole where they are, so that a group may be of any depth and a pixel never becomes a row; what is left
+    of a group is as many images as partitions hold some."""
+    rows = stacks.select(*keys, pixels)
+    schema = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes)
+    partial = rows.mapInArrow(lambda parts: _tops(parts, 64), schema)
+    return partial.groupBy(*keys).applyInArrow(lambda t: pa.Table.from_batches(list(_tops(iter(t.select([*keys, pixels]).to_batches())))), schema)
 
 
 def project_images(planes: DataFrame, keys: list[str], path: str = "path", order: str = "plane", content: str = "content") -> DataFrame:

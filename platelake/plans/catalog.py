@@ -529,7 +529,12 @@ def radial_power_slope(spark, sf_dir):
     return rounded(made, "slope", "percent")
 
 
-@query()
+# The sum of a resampled picture is linear in its pixels: each counts by the weights of its row and of its column, summed over the new ones.
+@query("""WITH t AS (SELECT o, p, (p + 0.5 - (o + 0.5) * 1.6::DOUBLE) / 1.6::DOUBLE AS t FROM range(5) a(o), range(8) b(p)),
+    w AS (SELECT o, p, CASE WHEN abs(t) >= 3 THEN 0 WHEN abs(t) < 1e-12 THEN 1 ELSE sin(pi() * t) / (pi() * t) * sin(pi() * t / 3) / (pi() * t / 3) END AS w FROM t),
+    c AS (SELECT p, sum(w / s) AS c FROM (SELECT *, sum(w) OVER (PARTITION BY o) AS s FROM w) GROUP BY p),
+    e AS (SELECT vec_id, unnest(CAST(embedding AS DOUBLE[])) AS x, unnest(range(len(embedding))) AS pos FROM embeddings)
+    SELECT vec_id, round(sum(x * a.c * b.c), 4) + 0.0 AS total FROM e JOIN c a ON a.p = pos // 8 JOIN c b ON b.p = pos % 8 GROUP BY vec_id""")
 def resized_images(spark, sf_dir):
     """Vectors as 8 x 8 pictures, resampled to 5 x 5."""
     from collections.abc import Iterator
@@ -539,9 +544,9 @@ def resized_images(spark, sf_dir):
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
             small = [I.resize(np.asarray(v, np.float64).reshape(8, 8), 5) for v in pdf["embedding"]]
-            yield pd.DataFrame({"vec_id": pdf["vec_id"], "total": [round(float(x.sum()), 4) for x in small]})
+            yield pd.DataFrame({"vec_id": pdf["vec_id"], "total": [float(x.sum()) for x in small]})
 
-    return load(spark, sf_dir, "embeddings").select("vec_id", "embedding").mapInPandas(run, "vec_id long, total double")
+    return rounded(load(spark, sf_dir, "embeddings").select("vec_id", "embedding").mapInPandas(run, "vec_id long, total double"), "total", digits=4)
 
 
 # --- Names, paths and jobs ----------------------------------------------------------------------------------------------
