@@ -72,6 +72,11 @@ def file_label(text: Column) -> Column:
     return F.translate(text, " /", "__")
 
 
+def capitalised(text: Column) -> Column:
+    """The first character in upper case, the others in lower case."""
+    return F.concat(F.upper(F.substring(text, 1, 1)), F.lower(F.right(text, F.char_length(text) - 1)))
+
+
 def scale_8bit(pixels: Column) -> Column:
     """Pixels from 0 (least) to 255 (greatest), truncated; all zero when they are equal."""
     low, high = F.array_min(pixels), F.array_max(pixels)

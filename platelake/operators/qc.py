@@ -28,11 +28,21 @@ def without_failing(objects: DataFrame, images: DataFrame, key: str = "ImageNumb
     return objects.join(images.filter(any_flag(images)).select(key), key, "left_anti")
 
 
-def with_image_metadata(objects: DataFrame, images: DataFrame, columns: tuple[str, ...] = ("Metadata_Well", "Metadata_Site"), key: str = "ImageNumber") -> DataFrame:
-    """Image metadata joined on, if the first of columns is missing and the key is there; objects without an image keep nulls."""
+def with_image_metadata(objects: DataFrame, images: DataFrame, columns: tuple[str, ...] = ("Metadata_Well", "Metadata_Site"), key: str = "ImageNumber", within: tuple[str, ...] = ()) -> DataFrame:
+    """Image metadata joined on, if the first of columns is missing and the key is there; objects without an image keep nulls.
+
+    within names columns within which key is unique."""
     if columns[0] in objects.columns or key not in objects.columns:
         return objects
-    return objects.join(images.select(key, *(c for c in columns if c not in objects.columns)), key, "left")
+    return objects.join(images.select(*within, key, *(c for c in columns if c not in objects.columns)), [*within, key], "left")
+
+
+def tables_with_metadata(tables: dict[str, DataFrame], columns: tuple[str, ...], key: str = "ImageNumber", within: tuple[str, ...] = ()) -> dict[str, DataFrame]:
+    """Image metadata joined on to every object table if the nuclei lack the site, and to none if they have it."""
+    if "Nuclei" not in tables or "Metadata_Site" in tables["Nuclei"].columns:
+        return tables
+    joined = lambda t: t.drop(*columns).join(tables["Image"].select(*within, key, *columns), [*within, key], "left")
+    return {n: t if n == "Image" else joined(t) for n, t in tables.items()}
 
 
 def mask_rows(rows: DataFrame, quality: DataFrame, key: str, passes: Column) -> DataFrame:

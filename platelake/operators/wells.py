@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 
 from platelake.functions.naming import PREFIXES, drop_bookkeeping, prefixed, whole_integers
 from platelake.functions.scalars import upper_of
-from platelake.operators.qc import with_image_metadata, without_failing
+from platelake.operators.qc import any_flag, with_image_metadata, without_failing
+from platelake.operators.selection import unite
 
 #: Aggregates by name.
 AGGREGATES = {"mean": F.avg, "median": F.median, "sum": F.sum, "min": F.min, "max": F.max, "std": F.stddev_samp, "count": F.count}
@@ -68,6 +69,38 @@ def platemap_of(df: DataFrame) -> DataFrame:
     return df.select(*cols).withColumn("Metadata_Compound", upper_of(F.col("Metadata_Compound")))
 
 
+def plate_profiles(tables: dict[str, list[tuple[DataFrame, DataFrame]]], platemaps: DataFrame, scope: tuple[str, ...] = ("Metadata_Plate", "Metadata_Timepoint"), how: str = "mean", qc_drop: bool = True) -> DataFrame:
+    """Annotated well profiles of all plates and times at once. tables holds, by name, frames that have scope's columns, each with
+    scope and whole, the columns of whole numbers there; platemaps has the wells of every plate.
+
+    Images are numbered, wells counted and scaled within each combination of scope."""
+    on, keys = [*scope, "ImageNumber"], [*scope, "Metadata_Well"]
+    known = ("Metadata_Well", "Metadata_Site")
+    facts = unite([f.select(*on, *(c for c in known if c in f.columns), any_flag(f).alias("_fails")) for f, _ in tables["Image"]])
+    merged = []
+    for name, prefix in PREFIXES.items():
+        parts = []
+        for frame, whole in tables.get(name, []):
+            t = with_image_metadata(frame, facts, within=scope)
+            if qc_drop:
+                t = t.join(facts.filter("_fails").select(*on), on, "left_anti")
+                t = prefixed(drop_bookkeeping(t, (*keys, "Metadata_Site")), prefix)
+                met = t.join(site_scaling(t, list(scope)).drop("n_sites"), keys).join(whole, list(scope))
+                place = {prefix + c: k for k, c in enumerate(frame.columns)}
+                numbers = [f.name for f in t.schema if isinstance(f.dataType, T.NumericType) and f.name in place]
+                counts = {c: F.when(F.col("whole")[place[c]], F.col(f"`{c}`") * F.col("scaling_factor")).otherwise(F.col(f"`{c}`")) for c in numbers}
+                t = met.withColumns(counts).drop("scaling_factor", "whole", "Metadata_Site")
+            else:
+                t = prefixed(drop_bookkeeping(t, tuple(keys)), prefix)
+            parts.append(aggregate_by(t, keys, how))
+        if parts:
+            merged.append(unite(parts))
+    layout = platemap_of(platemaps)
+    done = annotate(outer_merge(merged, keys), layout, ["Metadata_Plate", "Metadata_Well"])
+    rest = [c for c in done.columns if c not in layout.columns and c != "Metadata_Timepoint"]
+    return done.select(*layout.columns, *(f"`{c}`" for c in rest), "Metadata_Timepoint")
+
+
 def well_profiles(tables: dict[str, DataFrame], platemap: DataFrame, timepoint: str, how: str = "mean", qc_drop: bool = True) -> DataFrame:
     """Object tables (Image, Nuclei, Cells, Cytoplasm) of one plate and time to annotated well profiles."""
     images = tables["Image"]

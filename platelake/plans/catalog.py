@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from platelake.functions import scalars
-from platelake.functions.naming import drop_bookkeeping, nulls_for_tokens, prefixed
+from platelake.functions.naming import drop_bookkeeping, drop_stale_qc, drop_text_features, features_not_starting, features_without, nulls_for_tokens, prefixed
 from platelake.operators import cells as C
 from platelake.operators import images as I
 from platelake.operators import induction as H
@@ -17,7 +17,9 @@ from platelake.operators import jobs, qc, selection, similarity, wells
 from platelake.operators.normalize import mad_robustize
 from platelake.operators.profiles import Profiles
 from platelake.plans.adapters import CONTROL, FEATURES, META, SQL_CELLS, SQL_EVENTS, SQL_IMAGES, SQL_OBJECTS, TIMES, cells, events, images, load, measurements, objects
-from platelake.sources.tables import append, main_folders
+from platelake.session import scratch
+from platelake.sources.images import decode, map_images
+from platelake.sources.tables import append, main_folders, read_csvs, write_csv, write_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -602,3 +604,107 @@ def job_first_folder(spark, sf_dir):
     SELECT DISTINCT array_to_string(s[1:k], '/') AS url FROM a WHERE k > 0""")
 def main_folder_list(spark, sf_dir):
     return main_folders(load(spark, sf_dir, "pages").select("url"), ["example"], "url")
+
+
+# --- Columns by name, files and back ------------------------------------------------------------------------------------
+
+
+@query("SELECT c_custkey, c_acctbal, c_mktsegment AS Metadata_Compound FROM customer")
+def text_features_dropped(spark, sf_dir):
+    return drop_text_features(load(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal", F.col("c_mktsegment").alias("Metadata_Compound")))
+
+
+@query("SELECT event_id, value FROM events")
+def stale_qc_dropped(spark, sf_dir):
+    return drop_stale_qc(load(spark, sf_dir, "events").select("event_id", "value", F.col("value").alias("ImageQuality_Slope_DNA"), F.col("event_type").alias("QC_Error_DNA")))
+
+
+@query("SELECT o_orderkey AS Image_key, o_totalprice AS Image_total, CAST(year(o_orderdate) AS VARCHAR) AS Metadata_Timepoint FROM orders")
+def image_prefix(spark, sf_dir):
+    return prefixed(load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"), F.col("o_totalprice").alias("total"), F.year("o_orderdate").cast("string").alias("Metadata_Timepoint")), "Image_")
+
+
+@query("SELECT p_partkey, p_retailprice AS holding, p_retailprice + p_size AS starting FROM part")
+def feature_columns(spark, sf_dir):
+    """Sums over the features by either rule: a name that holds Metadata further on is a feature to one of them only."""
+    part = load(spark, sf_dir, "part").select(F.col("p_partkey").alias("Metadata_key"), F.col("p_retailprice").alias("price"), F.col("p_size").alias("Own_Metadata_size"))
+    total = lambda names: sum((F.col(c) for c in names), F.lit(0.0))
+    return part.select(F.col("Metadata_key").alias("p_partkey"), total(features_without(part)).alias("holding"), total(features_not_starting(part)).alias("starting"))
+
+
+@query(f"WITH {SQL_IMAGES} SELECT DISTINCT Metadata_Plate, Metadata_Timepoint, Metadata_Compound FROM images")
+def distinct_groups(spark, sf_dir):
+    return images(spark, sf_dir).select(*GROUP, "Metadata_Compound").distinct()
+
+
+@query("""SELECT page_id, 'base/' || url AS below, url AS alone, '/abs' AS absolute, 'slash/' || url AS slash FROM pages""")
+def path_joined(spark, sf_dir):
+    url = F.col("url")
+    return load(spark, sf_dir, "pages").select(
+        "page_id",
+        scalars.path_join(F.lit("base"), url).alias("below"),
+        scalars.path_join(F.lit(""), url).alias("alone"),
+        scalars.path_join(url, F.lit("/abs")).alias("absolute"),
+        scalars.path_join(F.lit("slash/"), url).alias("slash"),
+    )
+
+
+@query("SELECT n_nationkey, upper(n_name[1]) || lower(n_name[2:]) AS name FROM nation")
+def capitalised_names(spark, sf_dir):
+    return load(spark, sf_dir, "nation").select("n_nationkey", scalars.capitalised(F.col("n_name")).alias("name"))
+
+
+@query("SELECT event_id, value FROM events WHERE NOT (value > 0.5)")
+def living_cells(spark, sf_dir):
+    return load(spark, sf_dir, "events").filter(~C.dead(F.col("value"))).select("event_id", "value")
+
+
+@query(f"WITH {SQL_OBJECTS} SELECT kind, Metadata_Well, Metadata_Site, count(*) AS n FROM obj GROUP BY ALL")
+def metadata_by_nuclei(spark, sf_dir):
+    """Three object tables, of which the nuclei lack the site, so that all three get their image's metadata."""
+    objects_ = measurements(spark, sf_dir).select("ImageNumber", "kind")
+    tables = {"Image": images(spark, sf_dir)} | {n: objects_.filter(F.col("kind") == k) for n, k in (("Nuclei", "A"), ("Cells", "N"), ("Cytoplasm", "R"))}
+    met = qc.tables_with_metadata(tables, ("Metadata_Well", "Metadata_Site"))
+    return selection.unite([met[n] for n in ("Nuclei", "Cells", "Cytoplasm")]).groupBy("kind", "Metadata_Well", "Metadata_Site").agg(F.count("*").alias("n"))
+
+
+@query("SELECT s_suppkey, s_name, round(s_acctbal, 2) AS s_acctbal, CAST('csv' AS VARCHAR) AS folder FROM supplier")
+def csv_round_trip(spark, sf_dir):
+    """Suppliers written as CSV and read again, types inferred, with a column made of the file's path."""
+    path = scratch(spark, "csv_round_trip/csv")
+    write_csv(load(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_acctbal"), path)
+    parts = [t for t, _ in read_csvs(spark, [path], {"folder": F.element_at(F.split("_file", "/"), -2)})]
+    return rounded(selection.unite(parts), "s_acctbal", digits=2)
+
+
+@query("SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders")
+def parquet_round_trip(spark, sf_dir):
+    """Orders written as Parquet in a folder for each status, in files of few rows, and read again."""
+    path = scratch(spark, "parquet_round_trip")
+    write_parquet(load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus"), path, rows=5000, by=("o_orderstatus",))
+    return spark.read.parquet(path)
+
+
+@query("SELECT vec_id, round(list_sum(list_transform(embedding, lambda x: x::DOUBLE)), 4) + 0.0 AS total, 8 AS height, CAST(len(embedding) / 8 AS INTEGER) AS width FROM embeddings")
+def image_round_trip(spark, sf_dir):
+    """Vectors as pictures of eight rows, from .npy files to TIFF, and read again."""
+    import io
+
+    import pandas as pd
+
+    def packed(parts):
+        for pdf in parts:
+            out = []
+            for v in pdf["embedding"]:
+                f = io.BytesIO()
+                np.save(f, np.asarray(v, np.float32).reshape(8, -1))
+                out.append(f.getvalue())
+            yield pd.DataFrame({"path": pdf["vec_id"].astype(str), "content": out})
+
+    def opened(parts):
+        for pdf in parts:
+            pictures = [decode(bytes(x)) for x in pdf["content"]]
+            yield pd.DataFrame({"vec_id": pdf["path"].astype("int64"), "total": [float(p.sum(dtype=float)) for p in pictures], "height": [p.shape[0] for p in pictures], "width": [p.shape[1] for p in pictures]})
+
+    files = load(spark, sf_dir, "embeddings").select("vec_id", "embedding").mapInPandas(packed, "path string, content binary")
+    return rounded(map_images(files, lambda x: x).mapInPandas(opened, "vec_id long, total double, height int, width int"), "total", digits=4)

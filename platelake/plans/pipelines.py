@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 import numpy as np
@@ -9,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from platelake.functions import scalars
-from platelake.functions.naming import drop_stale_qc, features_not_starting, features_without, prefixed
-from platelake.operators import cells, images, induction, selection, similarity, wells
+from platelake.functions.naming import drop_stale_qc, drop_text_features, features_not_starting, features_without, prefixed
+from platelake.operators import cells, images, induction, qc, selection, similarity, wells
 from platelake.operators.normalize import mad_robustize
 from platelake.operators.profiles import Profiles
 from platelake.sources import tables
@@ -19,19 +20,28 @@ from platelake.sources.images import load_arrays, map_images, write_files
 KEYS = ["Metadata_Plate", "Metadata_Timepoint"]
 
 
-def normalize_plates(spark: SparkSession, base: str, platemaps: dict[str, str], times: list[str], output: str | None = None, control: str = "DMSO", how: str = "mean", qc_drop: bool = True, prefix_strip: bool = True) -> DataFrame:
+def normalize_plates(spark: SparkSession, base: str, platemaps: dict[str, str], times: list[str], output: str | None = None, control: str = "DMSO", how: str = "mean", qc_drop: bool = True, prefix_strip: bool = True, time_folders: bool = True) -> DataFrame:
     """Object tables below base/plate/time to well profiles, robustly normalised against the control of their plate and time.
 
-    All plates and times are one plan: what is fitted within a plate and time is grouped by both. A control name that no well
-    has is an error."""
-    parts = []
-    for plate, path in platemaps.items():
-        name = plate.removeprefix("binned/") if prefix_strip else plate.lstrip("binned/")
-        layout = tables.read_csv(spark, path).withColumn("Metadata_Plate", F.lit(name))
-        for time in times:
-            loaded = {t: tables.read_csv(spark, f"{base}/{plate}/{time}/{t}.csv") for t in ("Image", "Nuclei", "Cells", "Cytoplasm")}
-            parts.append(wells.well_profiles(loaded, layout, time, how, qc_drop))
-    united = selection.unite(parts)
+    All plates and times are one plan: files of the same columns are read as one table, and what belongs to a plate and time is
+    grouped by both. Without time_folders the tables lie in base/plate and stand for each of times. A control name that no well has is
+    an error."""
+    stripped = (lambda p: p.removeprefix("binned/")) if prefix_strip else (lambda p: p.lstrip("binned/"))
+    parts = F.split(tables.path_below(base, "_file"), "/")
+    depth = 2 if time_folders else 1
+    plate = F.array_join(F.slice(parts, 1, F.size(parts) - depth), "/")
+    plate = F.regexp_replace(plate, "^binned/", "") if prefix_strip else scalars.strip_leading(plate, "binned/")
+    time = F.element_at(parts, -2) if time_folders else F.lit("")
+    loaded = {}
+    for t in ("Image", "Nuclei", "Cells", "Cytoplasm"):
+        paths = [f"{base.rstrip('/')}/{p}/{h}{t}.csv" for p in platemaps for h in ([f"{x}/" for x in times] if time_folders else [""])]
+        loaded[t] = tables.read_csvs(spark, paths, {"Metadata_Plate": plate, "Metadata_Timepoint": time})
+    ends = {"/" + re.sub("^[A-Za-z0-9]+:", "", path).lstrip("/"): stripped(p) for p, path in platemaps.items()}
+    of_file = F.coalesce(*(F.when(F.endswith(F.col("_file"), F.lit(e)), F.lit(ends[e])) for e in sorted(ends, key=len, reverse=True)))
+    layouts = tables.read_csvs(spark, list(platemaps.values()), {"Metadata_Plate": of_file})
+    united = wells.plate_profiles(loaded, selection.unite([wells.platemap_of(t) for t, _ in layouts]), how=how, qc_drop=qc_drop)
+    if not time_folders:
+        united = united.withColumn("Metadata_Timepoint", F.explode(F.array(*map(F.lit, times))))
     profiles = Profiles.of(united, features_without(united))
     done = mad_robustize(profiles, KEYS, F.col("Metadata_Compound") == control, require=True).wide()
     if output:
@@ -39,8 +49,8 @@ def normalize_plates(spark: SparkSession, base: str, platemaps: dict[str, str],
     return done
 
 
-def profile_objects(tables_: dict[str, DataFrame], control: str = "DMSO", clean_names: bool = True) -> DataFrame:
-    """The older all-in-one form: means by plate, well, time and compound of four tables, merged, normalised, double sigmoid, magnitude."""
+def profile_objects(tables_: dict[str, DataFrame], control: str = "DMSO", clean_names: bool = True, scope: tuple[str, ...] = tuple(KEYS)) -> DataFrame:
+    """The older all-in-one form: means by plate, well, time and compound of four tables, merged, normalised within scope, double sigmoid, magnitude."""
     keys = ["Metadata_Plate", "Metadata_Well", "Metadata_Timepoint", "Metadata_Compound"]
     means = []
     for name in ("Cells", "Nuclei", "Image", "Cytoplasm"):
@@ -48,10 +58,37 @@ def profile_objects(tables_: dict[str, DataFrame], control: str = "DMSO", clean_
             t = wells.aggregate_by(tables_[name].drop("ImageNumber"), keys)
             means.append(prefixed(t, wells.PREFIXES[name]) if clean_names or name == "Image" else t)
     merged = wells.outer_merge(means, keys)
-    p = mad_robustize(Profiles.of(merged, features_without(merged)), KEYS, F.col("Metadata_Compound") == control)
+    p = mad_robustize(Profiles.of(merged, features_without(merged)), list(scope), F.col("Metadata_Compound") == control)
     return p.mapped(lambda x: F.abs(scalars.double_sigmoid(x))).wide()
 
 
+def profile_times(spark: SparkSession, folder: str, times: list[str], output: str | None = None, control: str = "DMSO", operations: tuple[str, ...] = ("variance_threshold", "drop_na_columns", "correlation_threshold", "drop_outliers"), clean_names: bool = True, **options: dict) -> dict[str, dict[str, DataFrame]]:
+    """The older run whole, for each time of one plate: selected (profiles after normalisation, the magnitude of the double sigmoid
+    and selection), averages and cosines (mean and list of the replicate cosines of compound, time and level).
+
+    The tables of folder/time are read together; each time has features of its own, and a file of each result below output."""
+    label = {"Metadata_Timepoint": F.element_at(F.split(F.col("_file"), "/"), -2)}
+    loaded = {t: selection.unite([f for f, _ in tables.read_csvs(spark, [f"{folder.rstrip('/')}/{x}/{t}.csv" for x in times], label)]) for t in ("Cells", "Nuclei", "Image", "Cytoplasm")}
+    facts = ("Metadata_Plate", "Metadata_Site", "Metadata_Well", "Metadata_Compound", "Metadata_ConcLevel")
+    loaded = qc.tables_with_metadata(loaded, facts, within=("Metadata_Timepoint",))
+    objects = {n: drop_text_features(t) if n == "Image" else t.drop("Metadata_Site", "Metadata_ConcLevel") for n, t in loaded.items()}
+    magnitudes = profile_objects(objects, control, clean_names, ("Metadata_Timepoint",)).withColumn("Metadata_Plate", F.lit(folder.rstrip("/").rsplit("/", 1)[-1]))
+    groups = ["Metadata_Compound", "Metadata_Timepoint", "Metadata_ConcLevel"]
+    results = {}
+    for time in times:
+        now = magnitudes.filter(F.col("Metadata_Timepoint") == time)
+        kept = selection.feature_select(Profiles.of(now, features_without(now)), list(operations), options)
+        made = {
+            "selected": kept.wide(),
+            "averages": similarity.average_cosine(kept.df, groups).drop("n"),
+            "cosines": similarity.replicate_cosines(kept.df, groups, order="Metadata_Well"),
+        }
+        for name, df in made.items() if output else ():
+            tables.write_csv(df, f"{output.rstrip('/')}/{time}/{name}", single=True)
+        results[time] = made
+    return results
+
+
 def select_features(normalized: DataFrame, per_time: bool = False, operations: tuple[str, ...] = ("variance_threshold", "drop_na_columns", "correlation_threshold", "drop_outliers"), na_cutoff: float = 0.5, correlation: float = 0.9, **options: dict) -> tuple[DataFrame, DataFrame]:
     """Selected profiles after the double sigmoid and its magnitude, and the average replicate cosine of compound, time and level."""
     settings = {"drop_na_columns": {"cutoff": na_cutoff}, "correlation_threshold": {"threshold": correlation}, **options}

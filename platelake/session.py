@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -22,3 +23,14 @@ def local_session(cpus: int | None = None, memory: str = "6g", shuffle: int | No
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A path for a session's own files in the folder that driver and executors share; local sessions without one get a temporary folder."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="platelake-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return f"{folder.rstrip('/')}/{spark.sparkContext.applicationId}/{name}"

@@ -15,7 +15,11 @@ from platelake.functions.naming import nulls_for_nan, nulls_for_tokens
 def sniff_separator(spark: SparkSession, path: str, candidates: str = ";,", head: int = 1024) -> str:
     """The separator of a CSV file by its first characters; read through Spark, so that any store will do."""
     line = spark.read.text(path).limit(20).collect()
-    sample = "\n".join(r[0] for r in line)[:head]
+    return separator_of("\n".join(r[0] for r in line)[:head], candidates)
+
+
+def separator_of(sample: str, candidates: str = ";,") -> str:
+    """The separator of the first lines of a CSV file."""
     try:
         return csv.Sniffer().sniff(sample, delimiters=candidates).delimiter
     except csv.Error:
@@ -34,16 +38,39 @@ def read_csv(spark: SparkSession, path: str | list[str], sep: str | None = None,
     return nulls_for_nan(typed(nulls_for_tokens(reader.csv(path))))
 
 
-def typed(df: DataFrame) -> DataFrame:
-    """String columns cast to bigint, double or boolean where every value that is there parses. One aggregate over the table."""
-    if not df.columns:
+def read_csvs(spark: SparkSession, paths: list[str], labels: dict[str, Column]) -> list[tuple[DataFrame, DataFrame]]:
+    """CSV files of one kind, whatever their columns and separators: those with the same header are read as one table.
+
+    labels are further columns, made of _file, the path of a row's file; they take the place of columns of the same name. With each
+    table comes one of labels and whole: whether its columns, by their places, hold whole numbers without a blank in the files of
+    these labels, as what one file has decides nothing about another. Else a column has one type over all files of its header. The first lines reach the
+    driver, one a file."""
+    file = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    lines = spark.read.text(paths).select("value", file.alias("file"), F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("n"))
+    by_header: dict[str, list[str]] = {}
+    for row in lines.filter("at = 0").groupBy("file").agg(F.min_by("value", "n").alias("header")).orderBy("file").collect():
+        by_header.setdefault(row["header"], []).append(row["file"])
+    found = []
+    for header, files in by_header.items():
+        raw = spark.read.option("header", True).option("sep", separator_of(header)).csv(files)
+        cells = [c for c in raw.columns if c.lower() not in {k.lower() for k in labels}]
+        raw = nulls_for_tokens(raw.select(*(f"`{c}`" for c in cells), file.alias("_file"))).withColumns(labels).drop("_file")
+        whole = F.array(*(F.bool_and(F.col(f"`{c}`").isNotNull() & F.trim(F.col(f"`{c}`")).rlike(r"^[+-]?\d+$")) for c in cells))
+        found.append((nulls_for_nan(typed(raw, tuple(labels))), raw.groupBy(*labels).agg(whole.alias("whole"))))
+    return found
+
+
+def typed(df: DataFrame, but: tuple[str, ...] = ()) -> DataFrame:
+    """String columns other than but cast to bigint, double or boolean where every value that is there parses. One aggregate over the table."""
+    columns = [c for c in df.columns if c not in but]
+    if not columns:
         return df
     kinds = {"bigint": r"^[+-]?\d{1,18}$", "double": r"(?i)^[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity)$", "boolean": "^(True|TRUE|true|False|FALSE|false)$"}
-    tests = [F.count_if(F.col(f"`{c}`").isNotNull() & ~F.trim(F.col(f"`{c}`")).rlike(shape)) for c in df.columns for shape in kinds.values()]
-    some = [F.count(F.col(f"`{c}`")) for c in df.columns]
+    tests = [F.count_if(F.col(f"`{c}`").isNotNull() & ~F.trim(F.col(f"`{c}`")).rlike(shape)) for c in columns for shape in kinds.values()]
+    some = [F.count(F.col(f"`{c}`")) for c in columns]
     row = df.agg(*(t.alias(f"t{i}") for i, t in enumerate(tests)), *(s.alias(f"s{i}") for i, s in enumerate(some))).first()
     out = {}
-    for i, c in enumerate(df.columns):
+    for i, c in enumerate(columns):
         fits = [k for j, k in enumerate(kinds) if row[f"t{3 * i + j}"] == 0]
         if row[f"s{i}"] == 0:
             out[c] = F.col(f"`{c}`").cast("double")
@@ -117,7 +144,8 @@ def write_parquet(df: DataFrame, path: str, rows: int = 100_000, by: tuple[str,
 def concat_timepoints(spark: SparkSession, folders: dict[str, str], names: tuple[str, ...] = ("Nuclei", "Cytoplasm", "Image", "Cells"), strict_position: bool = False) -> tuple[dict[str, DataFrame], list[str]]:
     """The tables of each time below each other, objects with Plate, Site and Well of their image, and what was skipped.
 
-    A time without its Image table is skipped whole, another missing table alone; both are reported."""
+    Names may be in lower case, files begin with a capital. A time without its Image table is skipped whole, another missing table
+    alone; both are reported."""
     found: dict[str, list[DataFrame]] = {n: [] for n in names}
     skipped = []
     for time, folder in folders.items():
@@ -129,11 +157,11 @@ def concat_timepoints(spark: SparkSession, folders: dict[str, str], names: tuple
         facts = image.select("ImageNumber", "Metadata_Plate", "Metadata_Site", "Metadata_Well")
         for n in names:
             try:
-                t = image if n == "Image" else read_csv(spark, f"{folder}/{n}.csv", ",")
+                t = image if n.capitalize() == "Image" else read_csv(spark, f"{folder}/{n.capitalize()}.csv", ",")
             except Exception as e:
                 skipped.append(f"{time}/{n}: {type(e).__name__}")
                 continue
-            if n != "Image" and "ImageNumber" in t.columns:
+            if n.capitalize() != "Image" and "ImageNumber" in t.columns:
                 t = t.drop(*(c for c in facts.columns if c != "ImageNumber")).join(facts, "ImageNumber", "left")
             found[n].append(t.withColumn("Metadata_Timepoint", F.lit(time)))
     return {n: append(ts, strict_position) for n, ts in found.items() if ts}, skipped

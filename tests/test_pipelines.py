@@ -53,6 +53,58 @@ def test_profiling_chain(spark, experiment, tmp_path):
         pipelines.normalize_plates(spark, base, maps, ["6h"], control="dmso").collect()
 
 
+def test_flat_plates_and_columns_that_differ(spark, tmp_path):
+    """Plates without a folder a time stand for each time; a count is scaled where it has no blank, whatever other files hold."""
+    maps = {}
+    for plate, blank, extra in (("P 1", "4", ""), ("P2", "", ",More"), ("P3", "", "")):
+        (tmp_path / plate).mkdir()
+        (tmp_path / f"{plate}.csv").write_text("Metadata_Compound,Metadata_ConcLevel,Metadata_Well,Metadata_Plate\n" + f"dmso,0,A,{plate}\ndmso,0,B,{plate}\n")
+        (tmp_path / plate / "Image.csv").write_text("ImageNumber,Metadata_Well,Metadata_Site,ImageQC_x,Metadata_Plate\n1,A,1,0,9\n2,A,2,0,9\n3,B,1,0,9\n4,B,2,1,9\n")
+        for t in ("Nuclei", "Cells", "Cytoplasm"):
+            own = f",{7}" if extra else ""
+            (tmp_path / plate / f"{t}.csv").write_text(f"ImageNumber,Count{extra}\n1,2{own}\n2,{blank}{own}\n3,3{own}\n4,50{own}\n")
+        maps[plate] = str(tmp_path / f"{plate}.csv")
+    from platelake.operators import wells
+    from platelake.sources import tables
+
+    label = {"Metadata_Plate": F.element_at(F.split("_file", "/"), -2), "Metadata_Timepoint": F.lit("6h")}
+    read = {t: tables.read_csvs(spark, [f"{tmp_path}/{p}/{t}.csv" for p in maps], label) for t in ("Image", "Nuclei", "Cells", "Cytoplasm")}
+    assert len(read["Image"]) == 1 and len(read["Cells"]) == 2
+    layout = spark.createDataFrame([("dmso", 0, w, p) for p in maps for w in "AB"], "Metadata_Compound string, Metadata_ConcLevel int, Metadata_Well string, Metadata_Plate string")
+    got = {(r["Metadata_Plate"], r["Metadata_Well"]): r for r in wells.plate_profiles(read, layout).collect()}
+    assert {k: r["DNA_Count"] for k, r in got.items()} == {("P 1", "A"): 3.0, ("P 1", "B"): 6.0, ("P2", "A"): 2.0, ("P2", "B"): 3.0, ("P3", "A"): 2.0, ("P3", "B"): 3.0}
+    assert got["P 1", "A"]["Cell_More"] is None and got["P2", "B"]["Cell_More"] == 14.0 and got["P2", "A"]["Metadata_Compound"] == "DMSO"
+    both = pipelines.normalize_plates(spark, str(tmp_path), maps, ["6h", "12h"], time_folders=False)
+    rows = both.select("Metadata_Plate", "Metadata_Well", "Metadata_Timepoint").collect()
+    assert len(rows) == len(set(rows)) == 12 and {r["Metadata_Timepoint"] for r in rows} == {"6h", "12h"}
+
+
+def test_older_run_whole(spark, tmp_path):
+    """Two times of a plate: metadata come from the images, means by well, selection a time, and similarities by hand."""
+    rng = np.random.default_rng(3)
+    folder, wells = tmp_path / "Plate_7", [("A", "DMSO", 0), ("B", "DMSO", 0), ("C", "DMSO", 0), ("D", "x", 1), ("E", "x", 1), ("F", "x", 1)]
+    for time in ("6h", "12h"):
+        (folder / time).mkdir(parents=True)
+        (folder / time / "Image.csv").write_text("ImageNumber,Metadata_Plate,Metadata_Site,Metadata_Well,Metadata_Timepoint,Metadata_Compound,Metadata_ConcLevel,File\n" + "".join(f"{n},old,1,{w},?,{c},{k},f\n" for n, (w, c, k) in enumerate(wells)))
+        for t in ("Nuclei", "Cells", "Cytoplasm"):
+            (folder / time / f"{t}.csv").write_text("ImageNumber,Area,Round\n" + "".join(f"{n},{rng.normal() + n},{rng.normal()}\n" for n in range(6) for _ in range(2)))
+    out = pipelines.profile_times(spark, str(folder), ["6h", "12h"], str(tmp_path / "out"), operations=("drop_na_columns",))
+    assert list(out) == ["6h", "12h"]
+    for made in out.values():
+        rows = made["selected"].collect()
+        names = [c for c in made["selected"].columns if "Metadata" not in c]
+        assert len(rows) == 6 and len(names) == 6 and {r["Metadata_Plate"] for r in rows} == {"Plate_7"}
+        x = np.array([[r[c] for c in names] for r in sorted((r for r in rows if r["Metadata_Compound"] == "x"), key=lambda r: r["Metadata_Well"])])
+        assert (x >= 0).all() and (x <= 1).all()
+        u = x / np.linalg.norm(x, axis=1, keepdims=True)
+        want = [u[i] @ u[j] for i in range(3) for j in range(i + 1, 3)]
+        cosines = {r["Metadata_Compound"]: r for r in made["cosines"].collect()}
+        assert np.allclose(cosines["x"]["cosine_similarities"], want) and len(cosines) == 2
+        means = {r["Metadata_Compound"]: r["average_cosine_similarity"] for r in made["averages"].collect()}
+        assert math.isclose(means["x"], np.mean(want), rel_tol=1e-9)
+    assert (tmp_path / "out/12h/cosines").exists()
+
+
 def test_sites_scale_counts_after_qc(spark, experiment):
     base, maps = experiment
     from platelake.operators.wells import well_profiles
