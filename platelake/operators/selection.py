@@ -12,69 +12,108 @@ from pyspark.sql import functions as F
 from platelake.operators.profiles import Profiles
 
 
-def value_frequencies(profiles: Profiles) -> DataFrame:
-    """pos, n_values, first and second: how often the two commonest values occur. Values are counted and compared by partial aggregates."""
-    counts = profiles.long().filter("x IS NOT NULL").groupBy("pos", "x").agg(F.count("*").alias("n"))
-    top = counts.groupBy("pos").agg(F.count("*").alias("n_values"), F.max(F.struct("n", "x")).alias("top"))
-    rest = counts.join(top.select("pos", "top"), "pos").filter(F.col("x") != F.col("top.x")).groupBy("pos").agg(F.max("n").alias("second"))
-    return top.join(rest, "pos", "left").select("pos", "n_values", F.col("top.n").alias("first"), "second")
+#: A group of rows, by the values of its keys, and positions of features.
+Chosen = dict[tuple, set[int]]
+
+
+def _by_group(rows: DataFrame, by: tuple[str, ...]) -> Chosen:
+    """The positions (pos) in rows of each group. A row a group and feature reaches the driver."""
+    found: Chosen = {}
+    for r in rows.select(*by, "pos").collect():
+        found.setdefault(tuple(r[:-1]), set()).add(r["pos"])
+    return found
+
+
+def _names_without(profiles: Profiles, gone: Chosen) -> list[str]:
+    return [n for k, n in enumerate(profiles.names) if k not in gone.get((), set())]
+
+
+def value_frequencies(profiles: Profiles, by: tuple[str, ...] = ()) -> DataFrame:
+    """by, pos, n_values, first and second: how often the two commonest values occur. Values are counted and compared by partial aggregates."""
+    at = [*by, "pos"]
+    counts = profiles.long(*by).filter("x IS NOT NULL").groupBy(*at, "x").agg(F.count("*").alias("n"))
+    top = counts.groupBy(*at).agg(F.count("*").alias("n_values"), F.max(F.struct("n", "x")).alias("top"))
+    rest = counts.join(top.select(*at, "top"), at).filter(F.col("x") != F.col("top.x")).groupBy(*at).agg(F.max("n").alias("second"))
+    return top.join(rest, at, "left").select(*at, "n_values", F.col("top.n").alias("first"), "second")
+
+
+def _invariant(profiles: Profiles, by: tuple[str, ...], alive: Chosen, freq_cut: float = 0.05, unique_cut: float = 0.01) -> Chosen:
+    rows = profiles.df.groupBy(*by).agg(F.count("*").alias("rows"))
+    found = value_frequencies(profiles, by)
+    met = found.join(rows, list(by)) if by else found.crossJoin(rows)  # one row
+    kept = _by_group(met.filter((F.col("n_values") > 1) & (F.col("second") / F.col("first") >= freq_cut) & (F.col("n_values") / F.col("rows") >= unique_cut)), by)
+    return {g: known - kept.get(g, set()) for g, known in alive.items()}
 
 
 def variance_threshold(profiles: Profiles, freq_cut: float = 0.05, unique_cut: float = 0.01) -> list[str]:
     """Without features of one value, of a second value rarer than freq_cut of the first, or of too few values for the rows."""
-    rows = profiles.df.count()
-    kept = {r["pos"] for r in value_frequencies(profiles).collect() if r["n_values"] > 1 and r["second"] / r["first"] >= freq_cut and r["n_values"] / rows >= unique_cut}
-    return [n for k, n in enumerate(profiles.names) if k in kept]
+    return _names_without(profiles, _invariant(profiles, (), _all(profiles), freq_cut, unique_cut))
 
 
-def missing_share(profiles: Profiles) -> DataFrame:
-    """pos and share of missing values."""
-    return profiles.long().groupBy("pos").agg(F.avg(F.col("x").isNull().cast("double")).alias("share"))
+def missing_share(profiles: Profiles, by: tuple[str, ...] = ()) -> DataFrame:
+    """by, pos and share of missing values."""
+    return profiles.long(*by).groupBy(*by, "pos").agg(F.avg(F.col("x").isNull().cast("double")).alias("share"))
+
+
+def _sparse(profiles: Profiles, by: tuple[str, ...], alive: Chosen, cutoff: float = 0.05) -> Chosen:
+    return _by_group(missing_share(profiles, by).filter(F.col("share") > cutoff), by)
 
 
 def drop_na_columns(profiles: Profiles, cutoff: float = 0.05) -> list[str]:
     """Features whose share of missing values is at most cutoff."""
-    gone = {r["pos"] for r in missing_share(profiles).filter(F.col("share") > cutoff).collect()}
-    return [n for k, n in enumerate(profiles.names) if k not in gone]
+    return _names_without(profiles, _sparse(profiles, (), {}, cutoff))
+
+
+def extremes(profiles: Profiles, by: tuple[str, ...] = ()) -> DataFrame:
+    """by, pos, low, high."""
+    return profiles.long(*by).groupBy(*by, "pos").agg(F.min("x").alias("low"), F.max("x").alias("high"))
 
 
-def extremes(profiles: Profiles) -> DataFrame:
-    """pos, low, high."""
-    return profiles.long().groupBy("pos").agg(F.min("x").alias("low"), F.max("x").alias("high"))
+def _outlying(profiles: Profiles, by: tuple[str, ...], alive: Chosen, cutoff: float = 500.0) -> Chosen:
+    return _by_group(extremes(profiles, by).filter((F.abs("high") > cutoff) | (F.abs("low") > cutoff)), by)
 
 
 def drop_outliers(profiles: Profiles, cutoff: float = 500.0) -> list[str]:
     """Features all of whose values lie within cutoff of zero."""
-    gone = {r["pos"] for r in extremes(profiles).filter((F.abs("high") > cutoff) | (F.abs("low") > cutoff)).collect()}
-    return [n for k, n in enumerate(profiles.names) if k not in gone]
+    return _names_without(profiles, _outlying(profiles, (), {}, cutoff))
 
 
-def correlation_rows(profiles: Profiles, lanes: int = 32) -> DataFrame:
-    """i and r: for each feature the Pearson correlations with all features, over the rows that hold both; NaN where one is constant.
+def correlation_rows(profiles: Profiles, lanes: int = 32, by: tuple[str, ...] = ()) -> DataFrame:
+    """by, i and r: for each feature the Pearson correlations with all features, over a group's rows that hold both; NaN where one is constant.
 
-    Partitions send their sums of products, a packed row for each feature, which are added in lanes and then by feature; neither
-    products nor correlations become rows or reach the driver."""
-    n = len(profiles.names)
-    means = {r["pos"]: r["m"] for r in profiles.long().groupBy("pos").agg(F.avg("x").alias("m")).collect()}  # a number a feature
-    center = np.array([means.get(k) or 0.0 for k in range(n)])
+    Partitions send their sums of products, a packed row for each feature, one group after another; these are added in lanes and then
+    by feature. Neither products nor correlations become rows or reach the driver."""
+    n, keys = len(profiles.names), list(by)
+    center = {}  # a number a group and feature
+    for r in profiles.long(*by).groupBy(*by, "pos").agg(F.avg("x").alias("m")).collect():
+        center.setdefault(tuple(r[:-2]), np.zeros(n))[r["pos"]] = r["m"] or 0.0
 
-    def sums(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros((6, n, n))
-        for pdf in parts:
-            x = np.array([np.asarray(row, float) for row in pdf["features"]]).reshape(-1, n) - center  # a null is NaN here
-            ok = ~np.isnan(x)
-            z, m = np.where(ok, x, 0), ok.astype(float)
-            for k, (a, b) in enumerate(((m, m), (z, m), (m, z), (z * z, m), (m, z * z), (z, z))):
-                total[k] += a.T @ b
+    def packed(group: tuple, total: np.ndarray) -> Iterator[pd.DataFrame]:
         for a in range(0, n, 64):
             rows = range(a, min(n, a + 64))
-            yield pd.DataFrame({"i": rows, "sums": [total[:, i].tobytes() for i in rows]})
+            yield pd.DataFrame({**{k: [g] * len(rows) for k, g in zip(keys, group)}, "i": rows, "sums": [total[:, i].tobytes() for i in rows]})
+
+    def sums(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, total = None, np.zeros((6, n, n))
+        for pdf in parts:
+            for group, some in pdf.groupby(keys, sort=False) if keys else [((), pdf)]:
+                if now is not None and group != now:  # rows come sorted by group
+                    yield from packed(now, total)
+                    total[:] = 0
+                now = group
+                x = np.array([np.asarray(row, float) for row in some["features"]]).reshape(-1, n) - center[group]  # a null is NaN here
+                ok = ~np.isnan(x)
+                z, m = np.where(ok, x, 0), ok.astype(float)
+                for k, (a, b) in enumerate(((m, m), (z, m), (m, z), (z * z, m), (m, z * z), (z, z))):
+                    total[k] += a.T @ b
+        if now is not None:
+            yield from packed(now, total)
 
     def added(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(6 * n)
         for x in pdf["sums"]:
             total += np.frombuffer(x)
-        return pd.DataFrame({"i": [key[0]], "sums": [total.tobytes()]})
+        return pd.DataFrame({**{k: [g] for k, g in zip([*keys, "i"], key)}, "sums": [total.tobytes()]})
 
     def correlated(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
@@ -84,11 +123,14 @@ def correlation_rows(profiles: Profiles, lanes: int = 32) -> DataFrame:
                 with np.errstate(all="ignore"):
                     cov, vx, vy = sxy - sx * sy / c, sxx - sx * sx / c, syy - sy * sy / c
                     rows.append(np.where((vx > 1e-12 * np.maximum(sxx, 1e-300)) & (vy > 1e-12 * np.maximum(syy, 1e-300)), cov / np.sqrt(vx * vy), np.nan))
-            yield pd.DataFrame({"i": pdf["i"], "r": rows})
+            yield pd.DataFrame({**{k: pdf[k] for k in keys}, "i": pdf["i"], "r": rows})
 
-    partial = profiles.df.select("features").mapInPandas(sums, "i int, sums binary").withColumn("lane", F.pmod(F.spark_partition_id(), F.lit(lanes)))
-    once = partial.groupBy("i", "lane").applyInPandas(added, "i int, sums binary")
-    return once.groupBy("i").applyInPandas(added, "i int, sums binary").mapInPandas(correlated, "i int, r array<double>")
+    kinds = dict(profiles.df.dtypes)
+    head = "".join(f"`{k}` {kinds[k]}, " for k in keys)
+    held = profiles.df.select(*by, "features").dropna(subset=keys).sortWithinPartitions(*by) if by else profiles.df.select("features")
+    partial = held.mapInPandas(sums, head + "i int, sums binary").withColumn("lane", F.pmod(F.spark_partition_id(), F.lit(lanes)))
+    once = partial.groupBy(*by, "i", "lane").applyInPandas(lambda key, pdf: added(key[:-1], pdf), head + "i int, sums binary")
+    return once.groupBy(*by, "i").applyInPandas(added, head + "i int, sums binary").mapInPandas(correlated, head + "i int, r array<double>")
 
 
 def correlation_matrix(profiles: Profiles) -> np.ndarray:
@@ -99,33 +141,54 @@ def correlation_matrix(profiles: Profiles) -> np.ndarray:
     return r
 
 
-def correlation_threshold(profiles: Profiles, threshold: float = 0.9) -> list[str]:
-    """Of each pair that correlates above threshold (signed), the feature that correlates more with all others goes; ties go by order.
+def _all(profiles: Profiles) -> Chosen:
+    return {(): set(range(len(profiles.names)))}
+
+
+def _correlated(profiles: Profiles, by: tuple[str, ...], alive: Chosen, threshold: float = 0.9) -> Chosen:
+    """Positions that go by correlation_threshold in each group, among those alive there.
+
+    Rows of correlations are judged where they are; a number a group and feature reaches the driver twice, its load and whether it goes."""
+    n, keys = len(profiles.names), list(by)
+    head = "".join(f"`{k}` {dict(profiles.df.dtypes)[k]}, " for k in keys)
+    masks = {g: np.isin(np.arange(n), list(known)) for g, known in alive.items()}
+    rows = correlation_rows(profiles, by=by).persist()
+
+    def each(pdf: pd.DataFrame) -> Iterator[tuple[tuple, int, np.ndarray]]:
+        for *group, i, r in pdf[[*keys, "i", "r"]].itertuples(index=False, name=None):
+            if masks[tuple(group)][i]:
+                yield tuple(group), i, np.where(masks[tuple(group)], np.asarray(r, float), np.nan)
+
+    def loads(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            yield pd.DataFrame([(*g, i, float(np.nansum(np.abs(r)))) for g, i, r in each(pdf)], columns=[*keys, "i", "load"])
 
-    Rows of correlations are judged where they are; a number a feature reaches the driver twice, its load and whether it goes."""
-    rows = correlation_rows(profiles).persist()
     try:
-        size = F.aggregate("r", F.lit(0.0), lambda a, x: a + F.coalesce(F.abs(F.nanvl(x, F.lit(None).cast("double"))), F.lit(0.0)))
-        load = np.zeros(len(profiles.names))
-        for row in rows.select("i", size.alias("load")).collect():
-            load[row["i"]] = row["load"]
+        load = {g: np.zeros(n) for g in alive}
+        for *group, i, x in rows.mapInPandas(loads, head + "i int, load double").collect():
+            load[tuple(group)][i] = x
 
         def judged(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in parts:
-                gone: set[int] = set()
-                for i, r in zip(pdf["i"], pdf["r"]):
-                    j = np.flatnonzero(np.asarray(r, float)[:i] > threshold)
-                    heavier = load[i] >= load[j]
-                    gone |= set(j[~heavier].tolist()) | ({int(i)} if heavier.any() else set())
-                yield pd.DataFrame({"i": sorted(gone)}, dtype="int32")
-
-        gone = {r["i"] for r in rows.mapInPandas(judged, "i int").distinct().collect()}
+                gone: set[tuple] = set()
+                for g, i, r in each(pdf):
+                    j = np.flatnonzero(r[:i] > threshold)
+                    heavier = load[g][i] >= load[g][j]
+                    gone |= {(*g, int(k)) for k in j[~heavier]} | ({(*g, int(i))} if heavier.any() else set())
+                yield pd.DataFrame(sorted(gone), columns=[*keys, "pos"])
+
+        return _by_group(rows.mapInPandas(judged, head + "pos int").distinct(), by)
     finally:
         rows.unpersist()
-    return [n for k, n in enumerate(profiles.names) if k not in gone]
+
+
+def correlation_threshold(profiles: Profiles, threshold: float = 0.9) -> list[str]:
+    """Of each pair that correlates above threshold (signed), the feature that correlates more with all others goes; ties go by order."""
+    return _names_without(profiles, _correlated(profiles, (), _all(profiles), threshold))
 
 
 OPERATIONS = {"variance_threshold": variance_threshold, "drop_na_columns": drop_na_columns, "correlation_threshold": correlation_threshold, "drop_outliers": drop_outliers}
+_GROUPED = {"variance_threshold": _invariant, "drop_na_columns": _sparse, "correlation_threshold": _correlated, "drop_outliers": _outlying}
 
 
 def feature_select(profiles: Profiles, operations: list[str], options: dict[str, dict] | None = None) -> Profiles:
@@ -142,11 +205,22 @@ def feature_select(profiles: Profiles, operations: list[str], options: dict[str,
 
 
 def select_per(profiles: Profiles, key: str, operations: list[str], options: dict[str, dict] | None = None) -> DataFrame:
-    """Selection within each value of key; the results are united by name, features that a part dropped being 0."""
-    parts = [r[0] for r in profiles.df.select(key).distinct().orderBy(key).collect() if r[0] is not None]
-    chosen = [feature_select(Profiles(profiles.df.filter(F.col(key) == p), profiles.names, profiles.meta), operations, options) for p in parts]
-    names = [n for n in profiles.names if any(n in c.names for c in chosen)]
-    return unite([c.wide() for c in chosen]).fillna(0.0, names).select(*profiles.meta, *names)
+    """Selection within each value of key, all values at once; features that are dropped at one value and kept at another are 0 there,
+    and so is what is missing. Rows whose key is null are left out."""
+    df = profiles.df.filter(F.col(key).isNotNull())
+    now = Profiles(df.persist(), profiles.names, profiles.meta)
+    try:
+        alive: Chosen = {(r[0],): set(range(len(now.names))) for r in df.select(key).distinct().collect()}
+        for name in operations:
+            gone = _GROUPED[name](now, (key,), alive, **(options or {}).get(name, {}))
+            alive = {g: known - gone.get(g, set()) for g, known in alive.items()}
+    finally:
+        df.unpersist()
+    at = sorted(set().union(*alive.values()))
+    kept = df.sparkSession.createDataFrame([(g[0], [k in known for k in at]) for g, known in alive.items()], f"`{key}` {dict(df.dtypes)[key]}, _kept array<boolean>")
+    few = Profiles(df, profiles.names, profiles.meta).keeping([profiles.names[k] for k in at])
+    filled = F.zip_with("features", "_kept", lambda x, ok: F.when(ok, F.coalesce(x, F.lit(0.0))).otherwise(0.0))
+    return Profiles(few.df.join(kept, key).withColumn("features", filled), few.names, few.meta).wide()
 
 
 def unite(tables: list[DataFrame]) -> DataFrame:

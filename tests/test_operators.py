@@ -281,3 +281,34 @@ def test_well_profiles_of_all_plates_and_times(spark):
     one = wells.well_profiles({"Image": of_one.select("ImageNumber", "Metadata_Well", "Metadata_Site", "ImageQC_flag"), "Nuclei": nuclei}, layout, "1995").filter("DNA_line IS NOT NULL")
     one = rounded(one.drop("Image_ImageQC_flag"), "DNA_line", "DNA_quantity")
     assert rows(made.filter("Metadata_Plate = '1' AND Metadata_Timepoint = '1995'").select(*sorted(made.columns))) == rows(one.select(*sorted(one.columns)))
+
+
+def test_selection_within_groups_is_selection_of_each_part(spark):
+    """All rules at once over groups against each rule on each part, with features that only some groups drop."""
+    rng = np.random.default_rng(5)
+    rows, names = [], [f"f{k}" for k in range(9)]
+    for g in ("a", "b", "c"):
+        x = rng.normal(size=(60, 9))
+        x[:, 1] = x[:, 0] + 0.01 * x[:, 1] if g != "b" else x[:, 1]
+        x[:, 2] = x[:, 0] + 0.3 * x[:, 2] if g == "c" else x[:, 2]
+        x[:, 3] = 1.0 if g == "a" else x[:, 3]
+        x[::2, 4] = np.nan if g == "b" else x[::2, 4]
+        x[0, 5] = 900 if g == "c" else x[0, 5]
+        x[3, 6] = np.nan
+        x[:, 8] = 1.0
+        rows += [(g, k, *map(float, r)) for k, r in enumerate(x)]
+    rows.append((None, 0, *[1.0] * 9))
+    wide = spark.createDataFrame(rows, "Metadata_g string, Metadata_k int, " + ", ".join(f"{n} double" for n in names)).repartition(5)
+    rules = ["variance_threshold", "drop_na_columns", "correlation_threshold", "drop_outliers"]
+    p = Profiles.of(wide, names)
+    got = selection.select_per(p, "Metadata_g", rules)
+    parts = {g: selection.feature_select(Profiles.of(wide.filter(F.col("Metadata_g") == g), names), rules).names for g in "abc"}
+    assert len({tuple(v) for v in parts.values()}) == 3
+    assert got.columns == ["Metadata_g", "Metadata_k", *(n for n in names if any(n in v for v in parts.values()))]
+    want = {(r[0], r[1]): dict(zip(names, r[2:])) for r in rows if r[0]}
+    found = got.collect()
+    assert len(found) == 180
+    for r in found:
+        for n in got.columns[2:]:
+            x = want[r["Metadata_g"], r["Metadata_k"]][n]
+            assert r[n] == (x if n in parts[r["Metadata_g"]] and x == x else 0.0)
