@@ -108,8 +108,3 @@ def scaled_vector(v: Column, by: Column) -> Column:
 def percent(part: Column, whole: Column) -> Column:
     """Percentage truncated to an integer, 0 of nothing."""
     return F.coalesce(F.try_divide(part * 100, whole), F.lit(0)).cast("int")
-
-
-def replaced_suffix(path: str, new: str, old: str = ".parquet") -> str:
-    """Output path by replacing a suffix."""
-    return path.replace(old, new)

@@ -14,7 +14,8 @@ MAD_SCALE, EPSILON = 1.4826, 1e-18
 def control_statistics(profiles: Profiles, keys: list[str], control: Column) -> DataFrame:
     """keys, center and spread: arrays of the medians and scaled MADs of each feature over the control rows of each group.
 
-    A group is the controls of one plate and time, some tens of rows, so exact medians fit in memory whatever the corpus."""
+    The controls of one plate and time are some tens of wells, whose exact medians fit in memory whatever the corpus. Over objects
+    the different values of a group and feature must fit in a task."""
     values = Profiles(profiles.df.filter(control), profiles.names, profiles.meta).long(*keys).filter("x IS NOT NULL")
     medians = values.groupBy(*keys, "pos").agg(F.median("x").alias("m"))
     spreads = values.join(medians, [*keys, "pos"]).groupBy(*keys, "pos").agg(F.first("m").alias("m"), (F.median(F.abs(F.col("x") - F.col("m"))) * MAD_SCALE).alias("s"))
