@@ -679,7 +679,7 @@ def csv_round_trip(spark, sf_dir):
 
 @query("SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders")
 def parquet_round_trip(spark, sf_dir):
-    """Orders written as Parquet in a folder for each status, in files of few rows, and read again."""
+    """Orders written as Parquet in a folder for each status, in row groups of 5,000, and read again."""
     path = scratch(spark, "parquet_round_trip")
     write_parquet(load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus"), path, rows=5000, by=("o_orderstatus",))
     return spark.read.parquet(path)

@@ -136,8 +136,8 @@ def append(tables: list[DataFrame], strict_position: bool = False) -> DataFrame:
 
 
 def write_parquet(df: DataFrame, path: str, rows: int = 100_000, by: tuple[str, ...] = ()) -> None:
-    """Parquet in files of at most rows rows, in a folder for each value of by."""
-    writer = df.write.mode("overwrite").option("maxRecordsPerFile", rows)
+    """Parquet in row groups of at most rows rows, in a folder for each value of by."""
+    writer = df.write.mode("overwrite").option("parquet.block.row.count.limit", rows)
     (writer.partitionBy(*by) if by else writer).parquet(path)
 
 

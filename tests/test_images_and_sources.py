@@ -195,7 +195,7 @@ def test_concat_timepoints(spark, tmp_path):
 def test_folders_and_row_index(spark, tmp_path):
     paths = spark.createDataFrame([("a/b/dmso_1/c.tif",), ("a/b/dmso_1/d.tif",), ("x/y.tif",), ("q/6h_P/z/6h_P/w.tif",)], "path string")
     assert [r[0] for r in tables.main_folders(paths, ["dmso", "6h_"]).collect()] == ["a/b/dmso_1", "q/6h_P"]
-    tables.write_parquet(spark.range(25).coalesce(1), str(tmp_path / "t"), rows=10)
+    tables.write_parquet(spark.range(0, 25, 1, 3), str(tmp_path / "t"), rows=4)
     got = tables.with_row_index(spark.read.parquet(str(tmp_path / "t"))).collect()
     assert sorted(r["row_idx"] for r in got) == list(range(25)) and all(r["row_idx"] == r["id"] for r in got)
     assert tables.output_name("s3/x.parquet", "_coords.parquet") == "s3/x_coords.parquet"
@@ -229,3 +229,12 @@ def test_every_vector_is_in_a_picture(spark, tmp_path):
             want[label, p] = power_slope(one.reshape(40, 40)), percent_maximal(one.reshape(40, 40))
     assert set(got) == set(want) and len(want) == 6
     assert all(np.allclose(got[k], want[k], atol=2e-6) for k in want)
+
+
+def test_parquet_row_groups(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    tables.write_parquet(spark.range(250).coalesce(1), str(tmp_path / "t"), rows=100)
+    (file,) = (tmp_path / "t").glob("*.parquet")
+    groups = pq.ParquetFile(file).metadata
+    assert [groups.row_group(k).num_rows for k in range(groups.num_row_groups)] == [100, 100, 50]
