@@ -2,8 +2,9 @@
 
 Few bits of 64 tell only the closest copies; at a similarity of 0.8 about ten bits differ. So candidates also come from MinHash
 bands of the same shingles: documents that agree in all hashes of some band join a cluster, as do those that the fingerprints
-link. Each cluster's shingle sets are then compared in full, in pairs of lanes, so that no cluster has to fit one task and every
-pair of its documents meets.
+link. Each cluster's shingle sets are then compared in full. A large cluster is dealt to lanes, so that it need not fit one task:
+first each lane compares its documents among themselves and with a few pivots of the cluster, which join the copies of one text
+across all lanes at one pass. Only documents outside the cluster's largest group so far then meet all others, lane by lane.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from platelake.llm.components import components, joined_with_sums
@@ -23,6 +24,8 @@ from platelake.llm.shared import discard, row_bytes, staged
 BANDS, ROWS = 40, 7
 #: Documents and shingles that a lane of a cluster holds on average.
 LANE, LANE_SHINGLES = 1024, 1 << 22
+#: Documents of a cluster that every lane sees, and the most shingles of such a document.
+PIVOTS, PIVOT_SHINGLES = 16, 1 << 16
 
 _random = np.random.default_rng(42)
 _TIMES = _random.integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -83,6 +86,56 @@ def linked(ids: np.ndarray, sets: list[np.ndarray], similarity: float) -> tuple[
     return tuple(np.concatenate(x) if x else np.zeros(0, np.int64) for x in (us, vs))
 
 
+def _lanes(rows: Column, shingles_: Column) -> Column:
+    return F.greatest(F.ceil(rows / LANE), F.ceil(shingles_ / LANE_SHINGLES), F.lit(1)).cast("int")
+
+
+def _dealt_once(held: DataFrame) -> DataFrame:
+    """(cluster, a, b, row, found): each document of held (row, cluster, n, found) in one lane a of its cluster, and the cluster's pivots
+    in every lane. b is 0."""
+    lanes = held.groupBy("cluster").agg(_lanes(F.count("*"), F.sum("n")).alias("lanes"))
+    dealt = joined_with_sums(held, lanes, ["cluster"]).withColumn("a", F.pmod(F.xxhash64("row"), F.col("lanes")).cast("int"))
+    able = dealt.filter(F.col("lanes") > 1).filter(F.col("n") <= PIVOT_SHINGLES).select("cluster", "row", "lanes", "a")
+    first = able.withColumn("nth", F.row_number().over(Window.partitionBy("cluster").orderBy(F.xxhash64("row", F.lit("pivot")), "row"))).filter(F.col("nth") <= PIVOTS)
+    pivots = first.withColumn("lane", F.explode(F.sequence(F.lit(0), F.col("lanes") - 1))).filter("lane <> a").select("row", F.col("lane").alias("to"))
+    copies = held.join(pivots, "row").select("cluster", F.col("to").alias("a"), F.lit(0).alias("b"), "row", "found")
+    return dealt.select("cluster", "a", F.lit(0).alias("b"), "row", "found").unionAll(copies)
+
+
+def _dealt_across(held: DataFrame, roots: DataFrame) -> DataFrame:
+    """(cluster, a, b, row, found): pairs of lanes in which the documents of a cluster outside its largest group by roots (node, root)
+    meet each other and those within it. Clusters that fitted one lane, or are one group, have none."""
+    named = held.join(roots.select(F.col("node").alias("row"), "root"), "row", "left").withColumn("root", F.coalesce("root", "row"))
+    groups = named.groupBy("cluster", "root").agg(F.count("*").alias("rows"), F.sum("n").alias("size"))
+    most = groups.groupBy("cluster").agg(F.max(F.struct("rows", "root", "size")).alias("most"), F.sum("rows").alias("rows"), F.sum("size").alias("size"))
+    most = most.filter((_lanes(F.col("rows"), F.col("size")) > 1) & (F.col("rows") > F.col("most.rows")))
+    within, outside = _lanes(F.col("most.rows"), F.col("most.size")), _lanes(F.col("rows") - F.col("most.rows"), F.col("size") - F.col("most.size"))
+    most = most.select("cluster", F.col("most.root").alias("main"), within.alias("within"), outside.alias("outside"))
+    apart, mixed = F.col("root") != F.col("main"), F.xxhash64("row")
+    lane = F.when(apart, F.pmod(mixed, "outside")).otherwise(F.col("outside") + F.pmod(mixed, "within")).cast("int").alias("lane")
+    others = F.explode(F.sequence(F.lit(0), F.col("outside") + F.when(apart, F.col("within")).otherwise(0) - 1)).alias("other")
+    met = joined_with_sums(named, most, ["cluster"]).select("cluster", "row", "found", lane, others)
+    return met.select("cluster", F.least("lane", "other").alias("a"), F.greatest("lane", "other").alias("b"), "row", "found")
+
+
+def _edges(dealt: DataFrame, similarity: float) -> DataFrame:
+    """Star edges (u, v) of the components within each (cluster, a, b) of dealt."""
+
+    def compared(t: pa.Table) -> pa.Table:
+        ids = t.column("row").to_numpy()
+        u, v = linked(ids, [np.frombuffer(x.as_py(), np.uint64) for x in t.column("found")], similarity)
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+    return dealt.groupBy("cluster", "a", "b").applyInArrow(compared, "u long, v long")
+
+
+def compared_components(held: DataFrame, similarity: float) -> DataFrame:
+    """(node, root) of the rows of held (row, cluster, n, found) that steps of at least this similarity within a cluster join."""
+    roots = components(_edges(_dealt_once(held), similarity))
+    across = _edges(_dealt_across(held, roots), similarity)
+    return components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionAll(across))
+
+
 def jaccard_components(docs: DataFrame, row: str, linked_before: DataFrame | None = None, text_col: str = "text", size: int = 5, similarity: float = 0.8) -> DataFrame:
     """(node, root) for every row, by its number in column row, that is joined to others by steps of at least this similarity.
 
@@ -115,15 +168,4 @@ def jaccard_components(docs: DataFrame, row: str, linked_before: DataFrame | Non
     held = rows.join(clusters.select(F.col("node").alias("row"), F.col("root").alias("cluster")), "row").select("row", "cluster", "text")
     held = staged(held.mapInArrow(sets, "row long, cluster long, n int, found binary"), "jaccard-sets")
     discard(clusters)
-    lanes = held.groupBy("cluster").agg(F.greatest(F.ceil(F.count("*") / LANE), F.ceil(F.sum("n") / LANE_SHINGLES)).cast("int").alias("lanes"))
-    other = F.explode(F.sequence(F.lit(0), F.col("lanes") - 1)).alias("other")
-    dealt = joined_with_sums(held, lanes, ["cluster"]).withColumn("lane", F.pmod(F.xxhash64("row"), F.col("lanes")).cast("int"))
-    dealt = dealt.select("cluster", F.col("lane"), "row", "found", other)
-
-    def compared(t: pa.Table) -> pa.Table:
-        ids = t.column("row").to_numpy()
-        u, v = linked(ids, [np.frombuffer(x.as_py(), np.uint64) for x in t.column("found")], similarity)
-        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
-
-    pairs = dealt.select("cluster", F.least("lane", "other").alias("a"), F.greatest("lane", "other").alias("b"), "row", "found")
-    return components(pairs.groupBy("cluster", "a", "b").applyInArrow(compared, "u long, v long"))
+    return compared_components(held, similarity)

@@ -158,3 +158,39 @@ def test_similar_on_the_corpus_and_lanes(spark, corpus, awkward, monkeypatch):
             after = STAGES["simhash_dedup"](spark, docs, SF)
             assert after.columns == docs.columns
             check_near(rows_of(docs), rows_of(after))
+
+
+def test_large_cluster_is_not_dealt_as_all_pairs(spark, monkeypatch):
+    """Copies of one text in a large cluster are joined by its pivots; only the rest meets all others, and no link is lost."""
+    import numpy as np
+
+    from platelake.llm import jaccard
+
+    rng = np.random.default_rng(3)
+    core = rng.integers(0, 1 << 60, 60)
+    sets = {}
+    for i in range(800):  # near copies of one text, then a chain whose ends alone are far from it, then unlike documents
+        sets[i] = np.unique(np.append(core[:58], rng.integers(0, 1 << 60, 2)))
+    for k in range(8):
+        sets[800 + k] = np.unique(np.append(core[5 * k + 5 :], 7_000 + np.arange(5 * k + 5)))
+    for i in range(808, 820):
+        sets[i] = np.unique(rng.integers(0, 1 << 60, 60))
+    rows = [(i, 0, len(s), s.astype("<u8").tobytes()) for i, s in sets.items()]
+    held = spark.createDataFrame(rows, "row long, cluster long, n int, found binary").repartition(4)
+    monkeypatch.setattr(jaccard, "LANE", 20)
+    once = jaccard._dealt_once(held)
+    assert once.count() <= len(sets) + jaccard.PIVOTS * 41
+    assert max(r["count"] for r in once.groupBy("cluster", "a", "b").count().collect()) < 80
+    roots = jaccard.compared_components(held, 0.8)
+    got = {r["node"]: r["root"] for r in roots.collect()}
+    want = {i: i for i in sets}
+    for a in sorted(sets):
+        for b in range(a):
+            common = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+            if common >= 0.8 * (len(sets[a]) + len(sets[b]) - common):
+                old, new = max(want[a], want[b]), min(want[a], want[b])
+                if old != new:
+                    want = {i: new if r == old else r for i, r in want.items()}
+    assert {i: got.get(i, i) for i in sets} == want and len(set(want.values())) > 1
+    alike = jaccard.components(jaccard._edges(once, 0.8))
+    assert jaccard._dealt_across(held, alike).count() <= 4 * len(sets)
