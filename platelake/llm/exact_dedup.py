@@ -1,7 +1,7 @@
 """Exact deduplication by sorting whole contents.
 
 Sampled splitters range-partition the normalised texts, each partition is sorted externally, and neighbours are compared in
-full. The range key is the text's first characters, its hash, the row's identifier and the row's place in the input, so that
+full. The range key is the text's first characters, half its SHA-256, the row's identifier and the row's place in the input, so that
 the copies of one text may spread over many partitions, whatever their identifiers; runs that touch a partition's border are then joined to the runs beside them.
 """
 
@@ -70,7 +70,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("norm"), (F.col(row_col) if row_col else F.lit(None)).cast("long").alias("row")).mapInArrow(_normalise, "doc_id long, norm string, row long")
-    keys = rows.withColumns({"head": F.substring("norm", 1, PREFIX), "hash": F.xxhash64("norm"), "nth": F.monotonically_increasing_id()})
+    keys = rows.withColumns({"head": F.substring("norm", 1, PREFIX), "hash": F.unhex(F.substring(F.sha2("norm", 256), 1, 32)), "nth": F.monotonically_increasing_id()})
     ordered = keys.repartitionByRange(n_partitions(spark), "head", "hash", "doc_id", "nth").sortWithinPartitions("head", "hash", "norm", "doc_id", "nth")
     runs = staged(ordered.select("doc_id", "norm", "row").mapInArrow(_runs, _RUNS), "exact-dedup-runs")
 
